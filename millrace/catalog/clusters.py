@@ -11,6 +11,7 @@ from millrace.operators.cluster import (
     at_least_kth,
     distance_to_center,
     group_centers,
+    join_centers,
     mean_cost,
     nearest_center,
 )
@@ -132,6 +133,21 @@ def kmeans_default(spark, sf_dir):
     return cluster(lines, numeric_features(lines, "l_returnflag")).label_counts(lines, "l_returnflag")
 
 
+# One 0/1 feature has two distinct points, so the two clusters are its values.
+@query(
+    "kmeans_default_groups",
+    """
+SELECT CAST(l_linestatus = 'O' AS DOUBLE) AS center, l_returnflag AS label, count(*) AS n
+FROM lineitem GROUP BY 1, 2
+""",
+)
+def kmeans_default_groups(spark, sf_dir):
+    lines = _lines(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
+    found = cluster(lines, numeric_features(lines, "l_returnflag"))
+    counts = found.label_counts(lines, "l_returnflag").withColumnRenamed("l_returnflag", "label")
+    return join_centers(counts, found.centers(spark)).select(F.col("center")[0].alias("center"), "label", "n")
+
+
 @query("kmeans_centers")
 def kmeans_centers(spark, sf_dir):
     lines = _lines(spark, sf_dir, *_NUMBERS)
