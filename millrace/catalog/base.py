@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.functions import Keys
+from millrace.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -13,6 +16,8 @@ SQL: dict[str, str] = {}
 
 # lineitem has no unique id; these columns keep copies of a line on one side of a split.
 LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LINE = Keys(tuple(LINE_KEYS), portable=True)
+EVENT = Keys(("event_id",), portable=True)
 
 # 0/1 features of lineitem, as expressions both engines read the same way.
 BINARY = {
@@ -39,6 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_lines(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """Columns of lineitem for a job of several passes, on all cores."""
+    return spread(table(spark, sf_dir, "lineitem").select(*columns))
+
+
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     """Round the named columns, so that summation order does not show."""
     return df.select(*[F.round(c, places).alias(c) if c in columns else F.col(c) for c in df.columns])

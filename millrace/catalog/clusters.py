@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import query, rounded, table
+from millrace.catalog.base import query, rounded, spread_lines, table
 from millrace.functions import as_doubles, squared_distance
 from millrace.operators.cluster import (
     at_least_kth,
@@ -123,13 +123,9 @@ _NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _TEXTS = ["l_returnflag", "l_linestatus"]
 
 
-def _lines(spark, sf_dir, *columns):
-    return table(spark, sf_dir, "lineitem").select(*columns)
-
-
 @query("kmeans_default")
 def kmeans_default(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS, "l_returnflag")
+    lines = spread_lines(spark, sf_dir, *_NUMBERS, "l_returnflag")
     return cluster(lines, numeric_features(lines, "l_returnflag")).label_counts(lines, "l_returnflag")
 
 
@@ -142,7 +138,7 @@ FROM lineitem GROUP BY 1, 2
 """,
 )
 def kmeans_default_groups(spark, sf_dir):
-    lines = _lines(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
+    lines = spread_lines(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
     found = cluster(lines, numeric_features(lines, "l_returnflag"))
     counts = found.label_counts(lines, "l_returnflag").withColumnRenamed("l_returnflag", "label")
     return join_centers(counts, found.centers(spark)).select(F.col("center")[0].alias("center"), "label", "n")
@@ -150,44 +146,44 @@ def kmeans_default_groups(spark, sf_dir):
 
 @query("kmeans_centers")
 def kmeans_centers(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS)
+    lines = spread_lines(spark, sf_dir, *_NUMBERS)
     centers = cluster(lines, numeric_features(lines, ""), k=5).centers(spark)
     return centers.select("cluster", F.posexplode("center").alias("pos", "value"))
 
 
 @query("kmeans_cost_default")
 def kmeans_cost_default(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS)
+    lines = spread_lines(spark, sf_dir, *_NUMBERS)
     return cost_sweep(lines, numeric_features(lines, ""), [10])
 
 
 @query("kmeans_cost_tight")
 def kmeans_cost_tight(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS)
+    lines = spread_lines(spark, sf_dir, *_NUMBERS)
     return cost_sweep(lines, numeric_features(lines, ""), [20], **TIGHT)
 
 
 @query("kmeans_cost_scaled")
 def kmeans_cost_scaled(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS)
+    lines = spread_lines(spark, sf_dir, *_NUMBERS)
     return cost_sweep(lines, fit_scaled_features(lines, ""), [20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_cost_onehot")
 def kmeans_cost_onehot(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS, *_TEXTS)
+    lines = spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS)
     return cost_sweep(lines, fit_connection_features(lines, "", _TEXTS), [20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_k_sweep")
 def kmeans_k_sweep(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS)
+    lines = spread_lines(spark, sf_dir, *_NUMBERS)
     return cost_sweep(lines, fit_scaled_features(lines, ""), [5, 10, 20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")
+    lines = spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")
     features = fit_connection_features(lines, "l_linenumber", _TEXTS)
     return entropy_sweep(lines, features, "l_linenumber", [5, 10, 20], **TIGHT)
 
@@ -205,7 +201,7 @@ SELECT k.k AS k, 0.0::DOUBLE AS cost, round(sum(-n * ln(p)) / sum(n), 6) AS entr
 """,
 )
 def kmeans_groups_entropy(spark, sf_dir):
-    lines = _lines(spark, sf_dir, *_TEXTS, "l_linenumber")
+    lines = spread_lines(spark, sf_dir, *_TEXTS, "l_linenumber")
     k = lines.select(*_TEXTS).distinct().count()
     features = PipelineModel([fit_one_hot(lines, _TEXTS), assembler([f"{c}_vec" for c in _TEXTS])])
     found = cluster(lines, features, k, initSteps=10)
@@ -216,6 +212,6 @@ def kmeans_groups_entropy(spark, sf_dir):
 
 @query("anomalies")
 def anomalies(spark, sf_dir):
-    lines = _lines(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
+    lines = spread_lines(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
     features = fit_connection_features(lines, "l_linenumber", _TEXTS, drop=["l_orderkey"])
     return cluster(lines, features, 20, "scaledFeatures", **TIGHT).anomalies(lines, 100)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import bucket_sql, class_metrics_sql, query, rounded, table, value_metrics_sql
+from millrace.catalog.base import EVENT, bucket_sql, class_metrics_sql, query, rounded, table, value_metrics_sql
 from millrace.functions import hash_bucket
 from millrace.operators import counts, evaluate
 
@@ -48,7 +48,7 @@ SELECT round(sum(tr.p * te.p), 6) AS accuracy FROM tr JOIN te ON tr.event_type =
 """,
 )
 def random_baseline_accuracy(spark, sf_dir):
-    in_train = hash_bucket(["event_id"], 10) < 9
+    in_train = hash_bucket(EVENT, 10) < 9
     return rounded(counts.chance_accuracy(table(spark, sf_dir, "events"), "event_type", in_train), "accuracy")
 
 

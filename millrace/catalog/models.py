@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.base import (
     BINARY,
     FLAG_CODE,
+    LINE,
     LINE_KEYS,
     bucket_sql,
     class_metrics_sql,
@@ -18,6 +19,7 @@ from millrace.catalog.base import (
     query,
     rounded,
     select_sql,
+    spread_lines,
     table,
     value_metrics_sql,
 )
@@ -37,8 +39,9 @@ _NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def _split(spark, sf_dir, spec):
     """The columns given as name: expression over lineitem, split 9 to 1 by line."""
-    train, test = hash_split(table(spark, sf_dir, "lineitem"), LINE_KEYS)
-    return train.select(*exprs(spec)), test.select(*exprs(spec))
+    lines = spread_lines(spark, sf_dir, *exprs(_KEYS | spec))
+    train, test = hash_split(lines, LINE)
+    return train.select(*spec), test.select(*spec)
 
 
 def _same(*columns):
@@ -131,7 +134,7 @@ both_parts AS (
 )
 def decision_tree_tuned(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _FLAG_COLUMNS)
-    fitted, _ = trees.tuned_decision_tree(train, test, "label", LINE_KEYS, grid=_TREE_GRID)
+    fitted, _ = trees.tuned_decision_tree(train, test, "label", LINE, grid=_TREE_GRID)
     return rounded(fitted.train_test_accuracy(), "accuracy")
 
 
@@ -147,7 +150,7 @@ def decision_tree_categorical(spark, sf_dir):
     rest = {"is_open": BINARY["is_open"], "qty_high": BINARY["qty_high"]}
     train, test = _split(spark, sf_dir, _KEYS | _FLAG | lines | rest)
     fitted, _ = trees.tuned_categorical_tree(
-        train, test, "label", LINE_KEYS, {"line": list(lines)},
+        train, test, "label", LINE, {"line": list(lines)},
         grid={"impurity": ["gini", "entropy"], "maxDepth": [20], "maxBins": [40], "minInfoGain": [0.0]},
     )
     return rounded(fitted.class_metrics(), "value")
@@ -231,7 +234,7 @@ SELECT feature, round(importance, 6) AS importance,
 """,
 )
 def feature_importances(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(*exprs({"quantity": "l_quantity"} | _STEPS))
+    lines = spread_lines(spark, sf_dir, *exprs({"quantity": "l_quantity"} | _STEPS))
     fitted = trees.random_forest_regressor(lines, lines, "quantity", **_PLAIN)
     return rounded(fitted.importances(), "importance")
 
@@ -261,7 +264,7 @@ SELECT feature, x AS value FROM q ORDER BY purity DESC LIMIT 1
 def decision_stump(spark, sf_dir):
     """Column of the root split and the highest value that goes left."""
     features = ["l_discount", "l_tax"]
-    train = table(spark, sf_dir, "lineitem").select(*exprs(_FLAG), *features)
+    train = spread_lines(spark, sf_dir, *exprs(_FLAG), *features)
     fitted = trees.decision_tree(train, train, "label", maxDepth=1)
     root = fitted.model.stages[-1].toDebugString
     slot, threshold = re.search(r"feature (\d+) <= ([0-9.eE+-]+)", root).groups()
@@ -289,7 +292,7 @@ def gbt_regressor(spark, sf_dir):
 def gbt_tuned_tvs(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _PRICE_COLUMNS)
     fitted, _ = boosting.tuned_gbt_holdout(
-        train, test, "label", LINE_KEYS, grid={"maxIter": [2, 4], "maxBins": [10], "maxDepth": [10, 20]}
+        train, test, "label", LINE, grid={"maxIter": [2, 4], "maxBins": [10], "maxDepth": [10, 20]}
     )
     return rounded(fitted.class_metrics(), "value")
 
@@ -298,7 +301,7 @@ def gbt_tuned_tvs(spark, sf_dir):
 def gbt_tuned_cv(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _PRICE_COLUMNS)
     fitted, _ = boosting.tuned_gbt_folds(
-        train, test, "label", LINE_KEYS, grid={"maxIter": [2, 3], "maxBins": [5], "maxDepth": [10]}
+        train, test, "label", LINE, grid={"maxIter": [2, 3], "maxBins": [5], "maxDepth": [10]}
     )
     return rounded(fitted.class_metrics(), "value")
 
@@ -344,7 +347,7 @@ _LOGISTIC_GRID = {"maxIter": [10], "regParam": [0.01, 0.1], "elasticNetParam": [
 @query("logistic_tuned_tvs", _SIGN_PREDICTION)
 def logistic_tuned_tvs(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _BULK_COLUMNS)
-    fitted, _ = regression.tuned_logistic_holdout(train, test, "label", LINE_KEYS, grid=_LOGISTIC_GRID)
+    fitted, _ = regression.tuned_logistic_holdout(train, test, "label", LINE, grid=_LOGISTIC_GRID)
     return rounded(fitted.class_metrics(), "value")
 
 
@@ -352,7 +355,7 @@ def logistic_tuned_tvs(spark, sf_dir):
 def logistic_tuned_cv(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _BULK_COLUMNS)
     grid = _LOGISTIC_GRID | {"regParam": [0.1]}
-    fitted, _ = regression.tuned_logistic_folds(train, test, "label", LINE_KEYS, grid=grid)
+    fitted, _ = regression.tuned_logistic_folds(train, test, "label", LINE, grid=grid)
     return rounded(fitted.class_metrics(), "value")
 
 
@@ -397,7 +400,7 @@ FROM lineitem
 """,
 )
 def linear_regression_ols(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    lines = spread_lines(spark, sf_dir, "l_quantity", "l_extendedprice")
     fitted = regression.linear_regression(lines, lines, "l_extendedprice", regParam=0.0)
     long = fitted.coefficients()
     wide = long.groupBy().pivot("feature", ["l_quantity", "intercept"]).agg(F.first("coefficient"))
@@ -406,9 +409,8 @@ def linear_regression_ols(spark, sf_dir):
 
 @query("one_vs_rest")
 def one_vs_rest(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", array_to_vector(as_doubles("embedding")).alias("vector")
-    )
+    vector = array_to_vector(as_doubles("embedding")).alias("vector")
+    vectors = spread(table(spark, sf_dir, "embeddings").select("vec_id", "label", vector))
     train, test = hash_split(vectors, ["vec_id"])
     fitted = regression.one_vs_rest(train, test, "label", ["vector"], maxIter=10)
     return rounded(fitted.class_metrics(), "value")
@@ -457,11 +459,11 @@ SELECT CAST(row_number() OVER (ORDER BY metric DESC, params) AS INT) AS "rank",
 )
 def grid_report(spark, sf_dir):
     names = list(BINARY)
-    lines = table(spark, sf_dir, "lineitem").select(*exprs(_KEYS | _FLAG_COLUMNS))
-    rows = assembler(names).transform(bucketed(lines, LINE_KEYS, 3)).select(
+    lines = spread_lines(spark, sf_dir, *exprs(_KEYS | _FLAG_COLUMNS))
+    rows = assembler(names).transform(bucketed(lines, LINE, 3)).select(
         F.col("label").cast("double").alias("label"), "_bucket", "features"
     )
     tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", seed=1)
     grid = param_grid(tree, impurity=["gini", "entropy"], maxDepth=[0, 5])
-    tuned = tune(spread(rows), tree, grid, k_folds(3), "label", "accuracy")
+    tuned = tune(rows, tree, grid, k_folds(3), "label", "accuracy")
     return rounded(inspect.grid_report(spark, tuned.scores, tuned.grid), "metric")

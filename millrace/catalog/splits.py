@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.catalog.base import bucket_sql, query, table
+from millrace.catalog.base import EVENT, bucket_sql, query, table
 from millrace.operators.counts import count_by
 from millrace.operators.split import with_fold, with_part
 
@@ -15,7 +15,7 @@ FROM events GROUP BY 1
 """,
 )
 def hash_split_counts(spark, sf_dir):
-    return count_by(with_part(table(spark, sf_dir, "events"), ["event_id"]), "part")
+    return count_by(with_part(table(spark, sf_dir, "events"), EVENT), "part")
 
 
 @query(
@@ -23,4 +23,4 @@ def hash_split_counts(spark, sf_dir):
     f"""SELECT CAST({bucket_sql(["event_id"], 5)} AS INT) AS fold, count(*) AS n FROM events GROUP BY 1""",
 )
 def fold_sizes(spark, sf_dir):
-    return count_by(with_fold(table(spark, sf_dir, "events"), ["event_id"], 5), "fold")
+    return count_by(with_fold(table(spark, sf_dir, "events"), EVENT, 5), "fold")

@@ -1,4 +1,4 @@
-from millrace.functions.hashing import hash_bucket
+from millrace.functions.hashing import Keys, hash_bucket
 from millrace.functions.vectors import (
     as_doubles,
     one_hot_position,
@@ -7,6 +7,7 @@ from millrace.functions.vectors import (
 )
 
 __all__ = [
+    "Keys",
     "as_doubles",
     "hash_bucket",
     "one_hot_position",

@@ -6,16 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions import hash_bucket
+from millrace.functions import Keys, hash_bucket
 
 
-def with_part(df: DataFrame, keys: list[str], train_tenths: int = 9, name: str = "part") -> DataFrame:
+def with_part(df: DataFrame, keys: Keys | Sequence[str], train_tenths: int = 9, name: str = "part") -> DataFrame:
     """Mark each row "train" or "test" by the hash of its key columns."""
     train = hash_bucket(keys, 10) < train_tenths
     return df.withColumn(name, F.when(train, "train").otherwise("test"))
 
 
-def hash_split(df: DataFrame, keys: list[str], train_tenths: int = 9) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, keys: Keys | Sequence[str], train_tenths: int = 9) -> tuple[DataFrame, DataFrame]:
     """Two parts that are the same rows on every run and in every engine.
 
     Give a unique id as the key: copies of one key stay on one side.
@@ -29,5 +29,5 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.9, 0.1), seed: int
     return df.randomSplit(list(weights), seed)
 
 
-def with_fold(df: DataFrame, keys: list[str], folds: int, name: str = "fold") -> DataFrame:
+def with_fold(df: DataFrame, keys: Keys | Sequence[str], folds: int, name: str = "fold") -> DataFrame:
     return df.withColumn(name, hash_bucket(keys, folds))

@@ -8,6 +8,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 
+from millrace.functions import Keys
 from millrace.plans.features import fit_mixed_features, mixed_feature_names
 from millrace.plans.models import SEED, Fitted, fit, fit_with
 from millrace.plans.tuning import Tuned, holdout, k_folds, param_grid, tune_classifier
@@ -45,7 +46,7 @@ def tuned_gbt_holdout(
     train: DataFrame,
     test: DataFrame,
     label: str,
-    keys: list[str],
+    keys: Keys | Sequence[str],
     features: Sequence[str] | None = None,
     grid: Mapping[str, Sequence] = HOLDOUT_GRID,
     parallelism: int = 4,
@@ -61,7 +62,7 @@ def tuned_gbt_folds(
     train: DataFrame,
     test: DataFrame,
     label: str,
-    keys: list[str],
+    keys: Keys | Sequence[str],
     features: Sequence[str] | None = None,
     grid: Mapping[str, Sequence] = FOLD_GRID,
     folds: int = FOLDS,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators.cluster import at_least_kth, center_table, distance_to_center, mean_cost
 from millrace.operators.counts import cluster_label_counts, weighted_entropy
 from millrace.plans.models import SEED
-from millrace.session import held, spread
+from millrace.session import held
 
 # Settings the results have to match.
 TIGHT = {"maxIter": 40, "tol": 1e-5}
@@ -73,9 +73,9 @@ def k_means(k: int, vector: str, **params) -> KMeans:
 
 
 def cluster(df: DataFrame, features: PipelineModel, k: int = 2, vector: str = "features", **params) -> Clusters:
-    """Fit k-means on the given feature stages' output; Spark caches the vectors itself."""
-    rows = spread(features.transform(df).select(vector))
-    return Clusters(features, k_means(k, vector, **params).fit(rows), vector)
+    """Fit k-means on the given feature stages' output."""
+    with held(features.transform(df).select(vector)) as rows:
+        return Clusters(features, k_means(k, vector, **params).fit(rows), vector)
 
 
 def _sweep(
@@ -90,7 +90,7 @@ def _sweep(
 ) -> DataFrame:
     """(k, score). The vectors are computed and cached once for all k."""
     vectors = PipelineModel([])
-    with held(spread(features.transform(df).select(vector, *keep))) as rows, ThreadPool(parallelism) as pool:
+    with held(features.transform(df).select(vector, *keep)) as rows, ThreadPool(parallelism) as pool:
 
         def one(k: int) -> tuple[int, float]:
             model = k_means(k, vector, **params).fit(rows)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import evaluate, inspect
 from millrace.operators.encode import assembler, feature_columns
-from millrace.session import spread
+from millrace.session import held
 
 SEED = 17
 
@@ -64,13 +64,14 @@ def fit(
     """Assemble the columns, fit on the training part.
 
     The estimator gets the vector and the label only, so a columnar scan reads
-    no other columns. It keeps its own binned or blocked copy of the rows for
-    its iterations, so the frame is not cached here as well.
+    no other columns. These two are held for the fit: an estimator goes over
+    its input several times before it has its own binned or blocked copy.
     """
     names = list(features or feature_columns(train, label))
     stage = assembler(names, vector)
     rows = stage.transform(labelled(train, label).select(label, *names)).select(label, vector)
-    model = PipelineModel([stage, estimator.fit(spread(rows))])
+    with held(rows) as cached:
+        model = PipelineModel([stage, estimator.fit(cached)])
     return Fitted(model, labelled(train, label), labelled(test, label), label, names)
 
 
@@ -85,5 +86,6 @@ def fit_with(
 ) -> Fitted:
     """The same with feature stages that were fitted on the training part."""
     rows = stages.transform(labelled(train, label)).select(label, vector)
-    model = PipelineModel([stages, estimator.fit(spread(rows))])
+    with held(rows) as cached:
+        model = PipelineModel([stages, estimator.fit(cached)])
     return Fitted(model, labelled(train, label), labelled(test, label), label, list(features))

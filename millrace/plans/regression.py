@@ -8,6 +8,7 @@ from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
+from millrace.functions import Keys
 from millrace.plans.features import fit_mixed_features, mixed_feature_names
 from millrace.plans.models import Fitted, fit, fit_with
 from millrace.plans.tuning import Tuned, holdout, k_folds, param_grid, tune_classifier
@@ -76,7 +77,7 @@ def tuned_logistic_holdout(
     train: DataFrame,
     test: DataFrame,
     label: str,
-    keys: list[str],
+    keys: Keys | Sequence[str],
     features: Sequence[str] | None = None,
     grid: Mapping[str, Sequence] = LOGISTIC_GRID,
     parallelism: int = 4,
@@ -92,7 +93,7 @@ def tuned_logistic_folds(
     train: DataFrame,
     test: DataFrame,
     label: str,
-    keys: list[str],
+    keys: Keys | Sequence[str],
     features: Sequence[str] | None = None,
     grid: Mapping[str, Sequence] = LOGISTIC_GRID,
     folds: int = FOLDS,

@@ -10,11 +10,11 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions import hash_bucket
+from millrace.functions import Keys, hash_bucket
 from millrace.operators.encode import assembler, feature_columns
 from millrace.operators.evaluate import class_metric_row, value_metric_row
 from millrace.plans.models import Fitted, labelled
-from millrace.session import held, spread
+from millrace.session import held
 
 _BUCKET = "_bucket"
 
@@ -39,7 +39,7 @@ def param_grid(estimator: Estimator, **axes: Sequence) -> list[dict]:
     return builder.build()
 
 
-def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, keys: Keys | Sequence[str], buckets: int) -> DataFrame:
     """Carry the hash bucket of the keys, before the keys themselves are projected away."""
     return df.withColumn(_BUCKET, hash_bucket(keys, buckets, SALT))
 
@@ -100,7 +100,7 @@ def tune_classifier(
     train: DataFrame,
     test: DataFrame,
     label: str,
-    keys: list[str],
+    keys: Keys | Sequence[str],
     features: Sequence[str] | None,
     buckets: int,
     parts: list[tuple[Column, Column]],
@@ -108,9 +108,9 @@ def tune_classifier(
     parallelism: int,
 ) -> tuple[Fitted, Tuned]:
     """Assemble once, tune on vector, label and bucket, and put the winner behind the assembler."""
-    names = list(features or feature_columns(train, label, keys))
+    names = list(features or feature_columns(train, label, list(keys)))
     stage = assembler(names)
     rows = stage.transform(bucketed(labelled(train, label), keys, buckets)).select(label, _BUCKET, "features")
-    tuned = tune(spread(rows), estimator, grid, parts, label, metric, parallelism)
+    tuned = tune(rows, estimator, grid, parts, label, metric, parallelism)
     model = PipelineModel([stage, tuned.model])
     return Fitted(model, labelled(train, label), labelled(test, label), label, names), tuned

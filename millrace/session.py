@@ -50,10 +50,11 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an iterative fit at least one partition per core.
+    """Give an iterative job at least one partition per core.
 
-    Meant for frames read straight from files: a large table already has far
-    more splits than the cluster has cores and is returned as it is.
+    For frames read straight from files, before anything shuffles them. A large
+    table has far more splits than the cluster has cores and is returned as it
+    is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
