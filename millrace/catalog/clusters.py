@@ -20,6 +20,8 @@ from millrace.operators.encode import assembler, fit_one_hot
 from millrace.operators.rank import kth_largest
 from millrace.plans.clustering import TIGHT, cluster, cost_sweep, entropy_sweep
 from millrace.plans.features import fit_connection_features, fit_scaled_features, numeric_features
+from millrace.plans.workflows import detect_anomalies
+from millrace.session import held
 
 # The fixed centers are the mean vectors of the labels.
 _ASSIGNED = """
@@ -165,27 +167,27 @@ def kmeans_cost_tight(spark, sf_dir):
 
 @query("kmeans_cost_scaled")
 def kmeans_cost_scaled(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS)
-    return cost_sweep(lines, fit_scaled_features(lines, ""), [20], "scaledFeatures", **TIGHT)
+    with held(spread_lines(spark, sf_dir, *_NUMBERS)) as lines:
+        return cost_sweep(lines, fit_scaled_features(lines, ""), [20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_cost_onehot")
 def kmeans_cost_onehot(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS)
-    return cost_sweep(lines, fit_connection_features(lines, "", _TEXTS), [20], "scaledFeatures", **TIGHT)
+    with held(spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS)) as lines:
+        return cost_sweep(lines, fit_connection_features(lines, "", _TEXTS), [20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_k_sweep")
 def kmeans_k_sweep(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS)
-    return cost_sweep(lines, fit_scaled_features(lines, ""), [5, 10, 20], "scaledFeatures", **TIGHT)
+    with held(spread_lines(spark, sf_dir, *_NUMBERS)) as lines:
+        return cost_sweep(lines, fit_scaled_features(lines, ""), [5, 10, 20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")
-    features = fit_connection_features(lines, "l_linenumber", _TEXTS)
-    return entropy_sweep(lines, features, "l_linenumber", [5, 10, 20], **TIGHT)
+    with held(spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")) as lines:
+        features = fit_connection_features(lines, "l_linenumber", _TEXTS)
+        return entropy_sweep(lines, features, "l_linenumber", [5, 10, 20], **TIGHT)
 
 
 # Two strings have a few combinations and as many distinct points. With a
@@ -213,5 +215,5 @@ def kmeans_groups_entropy(spark, sf_dir):
 @query("anomalies")
 def anomalies(spark, sf_dir):
     lines = spread_lines(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
-    features = fit_connection_features(lines, "l_linenumber", _TEXTS, drop=["l_orderkey"])
-    return cluster(lines, features, 20, "scaledFeatures", **TIGHT).anomalies(lines, 100)
+    _, found = detect_anomalies(lines, "l_linenumber", _TEXTS, drop=["l_orderkey"], k=20)
+    return found

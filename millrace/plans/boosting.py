@@ -9,8 +9,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 
 from millrace.functions import Keys
-from millrace.plans.features import fit_mixed_features, mixed_feature_names
-from millrace.plans.models import SEED, Fitted, fit, fit_with
+from millrace.plans.models import SEED, Fitted, fit, fit_mixed
 from millrace.plans.tuning import Tuned, holdout, k_folds, param_grid, tune_classifier
 
 # Settings the results have to match. Boosting in current Spark
@@ -35,11 +34,9 @@ def gbt_classifier(
 
 def gbt_regressor(train: DataFrame, test: DataFrame, label: str, drop: Sequence[str] = (), **params) -> Fitted:
     """Boosted regression on the indexed features of a mixed table."""
-    stages = fit_mixed_features(train, label, drop)
     settings = {**VALUE_BOOST, **_DEEP, **params}
     boost = GBTRegressor(labelCol=label, featuresCol="indexedFeatures", seed=SEED, **settings)
-    names = mixed_feature_names(train, label, drop)
-    return fit_with(boost, stages, train, test, label, names, "indexedFeatures")
+    return fit_mixed(boost, train, test, label, drop)
 
 
 def tuned_gbt_holdout(

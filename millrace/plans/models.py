@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import evaluate, inspect
 from millrace.operators.encode import assembler, feature_columns
+from millrace.plans.features import fit_mixed_features, mixed_feature_names
 from millrace.session import held
 
 SEED = 17
@@ -75,17 +76,18 @@ def fit(
     return Fitted(model, labelled(train, label), labelled(test, label), label, names)
 
 
-def fit_with(
-    estimator: Estimator,
-    stages: PipelineModel,
-    train: DataFrame,
-    test: DataFrame,
-    label: str,
-    features: Sequence[str],
-    vector: str,
+def fit_mixed(
+    estimator: Estimator, train: DataFrame, test: DataFrame, label: str, drop: Sequence[str] = ()
 ) -> Fitted:
-    """The same with feature stages that were fitted on the training part."""
-    rows = stages.transform(labelled(train, label)).select(label, vector)
-    with held(rows) as cached:
-        model = PipelineModel([stages, estimator.fit(cached)])
-    return Fitted(model, labelled(train, label), labelled(test, label), label, list(features))
+    """Fit on the indexed features of a mixed table.
+
+    The training columns are held over the passes that fit the feature stages
+    and the one that fits the model.
+    """
+    names = feature_columns(train, label, drop)
+    with held(labelled(train, label).select(label, *names)) as rows:
+        stages = fit_mixed_features(rows, label)
+        vectors = stages.transform(rows).select(label, "indexedFeatures")
+        model = PipelineModel([stages, estimator.fit(vectors)])
+    slots = mixed_feature_names(train, label, drop)
+    return Fitted(model, labelled(train, label), labelled(test, label), label, slots)

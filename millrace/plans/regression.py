@@ -9,8 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
 from millrace.functions import Keys
-from millrace.plans.features import fit_mixed_features, mixed_feature_names
-from millrace.plans.models import Fitted, fit, fit_with
+from millrace.plans.models import Fitted, fit, fit_mixed
 from millrace.plans.tuning import Tuned, holdout, k_folds, param_grid, tune_classifier
 from millrace.sources.models import load_model, save_model
 
@@ -53,10 +52,8 @@ def linear_regression(
     train: DataFrame, test: DataFrame, label: str, drop: Sequence[str] = (), **params
 ) -> Fitted:
     """Linear regression on the indexed features of a mixed table."""
-    stages = fit_mixed_features(train, label, drop)
     regression = LinearRegression(labelCol=label, featuresCol="indexedFeatures", **{**LINEAR, **params})
-    names = mixed_feature_names(train, label, drop)
-    return fit_with(regression, stages, train, test, label, names, "indexedFeatures")
+    return fit_mixed(regression, train, test, label, drop)
 
 
 def one_vs_rest(

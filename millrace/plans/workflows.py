@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from millrace.operators.encode import feature_columns
 from millrace.operators.split import hash_split
 from millrace.plans.clustering import ANOMALY_K, ANOMALY_TOP, TIGHT, Clusters, cluster
 from millrace.plans.features import fit_connection_features
 from millrace.plans.models import Fitted
 from millrace.plans.regression import one_vs_rest
 from millrace.plans.trees import random_forest_regressor
+from millrace.session import held
 from millrace.sources.loaders import index_target
 
 # String columns of the connection records.
@@ -35,8 +37,10 @@ def detect_anomalies(
     **params,
 ) -> tuple[Clusters, DataFrame]:
     """Cluster mixed records; the rows farthest from their centers are the anomalies."""
-    features = fit_connection_features(df, label, texts, drop)
-    found = cluster(df, features, k, "scaledFeatures", **{**TIGHT, **params})
+    inputs = [label, *feature_columns(df, label, drop)]
+    with held(df.select(*inputs)) as rows:
+        features = fit_connection_features(rows, label, texts)
+        found = cluster(rows, features, k, "scaledFeatures", **{**TIGHT, **params})
     return found, found.anomalies(df, top)
 
 
