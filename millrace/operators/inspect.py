@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 
 def last_stage(model):
-    """The fitted estimator behind a pipeline."""
-    return model.stages[-1] if hasattr(model, "stages") else model
+    """The fitted estimator behind a pipeline, nested or not."""
+    while isinstance(model, PipelineModel):
+        model = model.stages[-1]
+    return model
 
 
 def schema_report(df: DataFrame) -> DataFrame:
