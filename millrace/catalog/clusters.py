@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import query, rounded, spread_lines, table
+from millrace.catalog.base import exprs, query, rounded, select_sql, spread_lines, table
 from millrace.functions import as_doubles, squared_distance
 from millrace.operators.cluster import (
     at_least_kth,
@@ -212,6 +212,52 @@ def kmeans_groups_entropy(spark, sf_dir):
     return rounded(out, "cost", "entropy")
 
 
+# With one feature far wider than the others the two clusters are its two
+# groups, and centers, cost and anomalies follow from the group means.
+_WIDE = {"status": "CAST(l_linestatus = 'O' AS INT) * 1000", "price": "l_extendedprice / 1000", "quantity": "l_quantity"}
+_WIDE_GROUPS = f"""
+w AS (SELECT l_orderkey, {select_sql(_WIDE)} FROM lineitem),
+m AS (SELECT status, avg(price) AS price_mean, avg(quantity) AS quantity_mean FROM w GROUP BY 1),
+a AS (SELECT w.*, price_mean, quantity_mean,
+             (price - price_mean) * (price - price_mean) + (quantity - quantity_mean) * (quantity - quantity_mean) AS dist
+      FROM w JOIN m USING (status))
+"""
+
+
+@query(
+    "kmeans_two_groups_centers",
+    f"""
+WITH {_WIDE_GROUPS}
+SELECT CAST(status AS DOUBLE) AS status, round(price_mean, 6) AS price, round(quantity_mean, 6) AS quantity FROM m
+""",
+)
+def kmeans_two_groups_centers(spark, sf_dir):
+    lines = spread_lines(spark, sf_dir, *exprs(_WIDE))
+    centers = cluster(lines, numeric_features(lines, ""), k=2).centers(spark)
+    slots = [F.col("center")[i].alias(name) for i, name in enumerate(_WIDE)]
+    return rounded(centers.select(*slots), "price", "quantity")
+
+
+@query("kmeans_two_groups_cost", f"WITH {_WIDE_GROUPS} SELECT CAST(2 AS INT) AS k, round(avg(dist), 6) AS score FROM a")
+def kmeans_two_groups_cost(spark, sf_dir):
+    lines = spread_lines(spark, sf_dir, *exprs(_WIDE))
+    return rounded(cost_sweep(lines, numeric_features(lines, ""), [2], **TIGHT), "score")
+
+
+@query(
+    "anomalies_two_groups",
+    f"""
+WITH {_WIDE_GROUPS},
+t AS (SELECT min(dist) AS t FROM (SELECT dist FROM a ORDER BY dist DESC LIMIT 100))
+SELECT l_orderkey, status, price, quantity, round(dist, 6) AS dist FROM a, t WHERE dist >= t.t
+""",
+)
+def anomalies_two_groups(spark, sf_dir):
+    lines = spread_lines(spark, sf_dir, "l_orderkey", *exprs(_WIDE))
+    found = cluster(lines, numeric_features(lines, "", ["l_orderkey"]), k=2, **TIGHT)
+    return rounded(found.anomalies(lines, 100).drop("cluster"), "dist")
+
+
 @query("anomalies")
 def anomalies(spark, sf_dir):
     lines = spread_lines(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
