@@ -235,7 +235,7 @@ def kmeans_two_groups_centers(spark, sf_dir):
     lines = spread_lines(spark, sf_dir, *exprs(_WIDE))
     centers = cluster(lines, numeric_features(lines, ""), k=2).centers(spark)
     slots = [F.col("center")[i].alias(name) for i, name in enumerate(_WIDE)]
-    return rounded(centers.select(*slots), "price", "quantity")
+    return rounded(centers.select(*slots), *_WIDE)
 
 
 @query("kmeans_two_groups_cost", f"WITH {_WIDE_GROUPS} SELECT CAST(2 AS INT) AS k, round(avg(dist), 6) AS score FROM a")
