@@ -14,8 +14,8 @@ class Keys:
 
     The hash depends on nothing but the row's own values, so a task that runs
     again after a lost executor puts every row back where it was. The default
-    xxhash64 costs a few nanoseconds per row; `portable` takes md5, about ten
-    times as much, to get the same parts in any engine.
+    is xxhash64; `portable` takes md5 over text, more than ten times the work,
+    to get the same parts in any engine.
     """
 
     columns: tuple[str, ...]
