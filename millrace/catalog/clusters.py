@@ -143,7 +143,8 @@ def kmeans_default_groups(spark, sf_dir):
     lines = spread_lines(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
     found = cluster(lines, numeric_features(lines, "l_returnflag"))
     counts = found.label_counts(lines, "l_returnflag").withColumnRenamed("l_returnflag", "label")
-    return join_centers(counts, found.centers(spark)).select(F.col("center")[0].alias("center"), "label", "n")
+    centered = join_centers(counts, found.centers(spark))
+    return rounded(centered.select(F.col("center")[0].alias("center"), "label", "n"), "center")
 
 
 @query("kmeans_centers")
