@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.llm import quality, toxicity
+from millrace.llm.labelled import remainder
 from millrace.llm.ngram_join import link_documents
 
 QUERIES: dict = {}
@@ -54,3 +56,23 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 @query("op10_ngram_jaccard_join", _NGRAM_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(table(spark, sf_dir, "documents"))
+
+
+def _scored(docs: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    return docs.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_from_labels(docs, table(spark, sf_dir, "labels"), skip=remainder(F.col("of"), 5) == 0)
+    return _scored(toxicity.score(docs, model), remainder(F.col("doc_id"), 5) == 0, 0.5)
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_from_labels(docs, table(spark, sf_dir, "labels"), skip=remainder(F.col("of"), 4) == 2)
+    return _scored(quality.score(docs, model), remainder(F.col("doc_id"), 4) == 2, 0.7)
