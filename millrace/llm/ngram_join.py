@@ -32,7 +32,7 @@ from millrace.llm.components import connected_components
 from millrace.llm.store import written
 from millrace.session import BROADCAST_BYTES
 
-_WIDTH_BITS = 17
+_WIDTH_BITS = 22
 _PARTS = 64
 _POST = np.dtype([("token", "<u8"), ("node", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 _SALTS = 16
@@ -64,6 +64,7 @@ def _profile(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _WIDTH_BITS, np.uint32)
+        most = np.iinfo(np.uint16).max
         for batch in batches:
             nodes, sizes, held, n_held = [], [], [], 0
             for tokens in _sets(batch.column("text"), size):
@@ -84,6 +85,7 @@ def _profile(size: int):
                 names=["key", "doc_id", "node", "n", "part", "counts"],
             )
         if counts.any():
+            counts = np.minimum(counts, most).astype(np.uint16)
             rows = [x.tobytes() for x in np.split(counts, _PARTS)]
             none = pa.nulls(_PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -104,25 +106,35 @@ def _bucket_counts(held: list[np.ndarray]) -> np.ndarray:
 def _add_counts(table: pa.Table) -> pa.Table:
     total = np.zeros((1 << _WIDTH_BITS) // _PARTS, np.uint64)
     for row in table.column("counts"):
-        total += np.frombuffer(row.as_py(), np.uint32)
+        total += np.frombuffer(row.as_py(), np.uint16)
     return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _rarity(profile: DataFrame) -> np.ndarray:
-    """Counts of all tokens by bucket: one megabyte, whatever the input."""
+def _rarity(profile: DataFrame) -> tuple[np.ndarray, int]:
+    """Of all tokens by bucket, the logarithm of the count in steps of 1/256: eight megabytes, whatever the input.
+
+    Also the number of all tokens.
+    """
     parts = profile.filter("part IS NOT NULL").select("part", "counts")
-    rows = parts.groupBy("part").applyInArrow(_add_counts, "part int, counts binary").collect()
-    out = np.zeros(1 << _WIDTH_BITS, np.uint64)
-    width = len(out) // _PARTS
-    for row in rows:
-        out[row.part * width : (row.part + 1) * width] = np.frombuffer(row.counts, np.uint64)
-    return out
+    parts = parts.groupBy("part").applyInArrow(_add_counts, "part int, counts binary")
+    out = np.zeros(1 << _WIDTH_BITS, np.uint16)
+    width, total = len(out) // _PARTS, 0
+    for row in parts.toLocalIterator():
+        counts = np.frombuffer(row.counts, np.uint64)
+        out[row.part * width : (row.part + 1) * width] = _scaled(counts)
+        total += int(counts.sum())
+    return out, total
+
+
+def _scaled(counts: np.ndarray) -> np.ndarray:
+    return np.round(256 * np.log2(1.0 + counts)).astype(np.uint16)
 
 
-def _postings(size: int, percent: int, counts: np.ndarray, buckets: int, hot: int):
+def _postings(size: int, percent: int, table, buckets: int, hot: int):
     """Packed postings of the rarity prefixes, a row for each bucket of tokens and flush."""
 
     def pack(held: list[np.ndarray]) -> pa.RecordBatch:
+        counts = table.value
         rows = np.concatenate(held)
         bucket = ((rows["token"] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
         is_hot = counts[(rows["token"] >> np.uint64(64 - _WIDTH_BITS)).astype(np.int64)] > hot
@@ -137,6 +149,7 @@ def _postings(size: int, percent: int, counts: np.ndarray, buckets: int, hot: in
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = table.value
         held, n_held, seen = [], 0, set()
         for batch in batches:
             for tokens in _sets(batch.column("text"), size):
@@ -162,11 +175,11 @@ def _postings(size: int, percent: int, counts: np.ndarray, buckets: int, hot: in
     return run
 
 
-def _meet(counts: np.ndarray, hot: int):
+def _meet(table, hot: int):
     """Of one bucket, the postings of tokens that more than one node has, or may have elsewhere."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(x.as_py(), _POST) for x in table.column("rows")])
+    def run(packed: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.frombuffer(x.as_py(), _POST) for x in packed.column("rows")])
         rows = rows[np.lexsort((rows["node"], rows["token"]))]
         same = rows["token"][1:] == rows["token"][:-1]
         rows = rows[np.concatenate([[True], ~(same & (rows["node"][1:] == rows["node"][:-1]))])]
@@ -174,7 +187,7 @@ def _meet(counts: np.ndarray, hot: int):
         shared = np.zeros(len(rows), bool)
         shared[1:] = same
         shared[:-1] |= same
-        shared |= counts[(rows["token"] >> np.uint64(64 - _WIDTH_BITS)).astype(np.int64)] > hot
+        shared |= table.value[(rows["token"] >> np.uint64(64 - _WIDTH_BITS)).astype(np.int64)] > hot
         rows = rows[shared]
         return pa.table(
             {
@@ -290,9 +303,9 @@ def link_documents(
     profile = written(
         docs.mapInArrow(_profile(words), "key long, doc_id long, node long, n int, part int, counts binary"), "ngram-profile"
     )
-    counts = _rarity(profile)
-    total = int(counts.sum())
-    hot = max(64, 4 * math.ceil(total / len(counts)))
+    counts, total = _rarity(profile)
+    hot = int(_scaled(np.array([max(64, 4 * math.ceil(total / len(counts)))]))[0])
+    counts = docs.sparkSession.sparkContext.broadcast(counts)  # of fixed size
     buckets = max(64, math.ceil(total * (100 - percent) / 100 / 250_000))
     packed = docs.select("text").mapInArrow(_postings(words, percent, counts, buckets, hot), "bucket int, rows binary")
     rows = packed.groupBy("bucket").applyInArrow(_meet(counts, hot), "token long, node long, n int, pos int")
