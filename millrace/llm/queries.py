@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import quality, toxicity
+from millrace.llm import packing, quality, toxicity
 from millrace.llm.labelled import remainder
 from millrace.llm.ngram_join import link_documents
 
@@ -64,6 +64,20 @@ def _scored(docs: DataFrame, held_out: Column, threshold: float) -> DataFrame:
     )
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path(TOKENIZER))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -19,6 +19,7 @@ text is read.
 
 from __future__ import annotations
 
+import heapq
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -143,9 +144,9 @@ def _folded(text: str) -> bytes:
     return _FOLD[np.minimum(points, 0x10FFFF)].tobytes()
 
 
-def _grams(texts: list[str]) -> list[set[bytes]]:
-    """Of each text, its strings of five or six letters within words, and its words."""
-    out = []
+def _grams(texts: list[str]) -> Counter:
+    """In how many of the texts are strings of five or six letters within words, and short words."""
+    total: Counter = Counter()
     for text in texts:
         seen = set()
         for word in set(_folded(text).split(b"\x00")):
@@ -153,20 +154,18 @@ def _grams(texts: list[str]) -> list[set[bytes]]:
                 seen.update(word[i : i + size] for i in range(len(word) - size + 1))
             if _P <= len(word) <= 16:
                 seen.add(word)
-        out.append(seen)
-    return out
+        total.update(seen)
+    return total
 
 
-def _gains(bad: list[set[bytes]], good: list[set[bytes]]) -> tuple[dict[bytes, float], Counter, Counter]:
+def _gains(bad: Counter, n_bad: int, good: Counter, n_good: int) -> dict[bytes, float]:
     """How much better than chance a string's presence tells the first lot from the second."""
-    in_bad, in_good = Counter(g for s in bad for g in s), Counter(g for s in good for g in s)
-    n_bad, n_good = len(bad) + 1, len(good) + 1
     gains = {}
-    for gram, x in in_bad.items():
-        p, q = (x + 0.5) / n_bad, (in_good[gram] + 0.5) / n_good
+    for gram, x in bad.items():
+        p, q = (x + 0.5) / (n_bad + 1), (good[gram] + 0.5) / (n_good + 1)
         if x >= 2 and p > q:
             gains[gram] = float(x * np.log(p / q))
-    return gains, in_bad, in_good
+    return gains
 
 
 def _landmarks(bad: list[str], good: list[str], count: int) -> tuple[list[bytes], int]:
@@ -175,18 +174,20 @@ def _landmarks(bad: list[str], good: list[str], count: int) -> tuple[list[bytes]
     A string counts as telling above the gains seen when texts without the
     label are told from each other.
     """
-    in_bad, in_good = _grams(bad), _grams(good)
     k = min(len(bad), len(good) // 2)
-    null = sorted(_gains(in_good[:k], in_good[k:])[0].values())
-    bar = null[-1] if null else 0.0
-    gains, df, common = _gains(in_bad, in_good)
+    one, other = _grams(good[:k]), _grams(good[k:])
+    bar = max(_gains(one, k, other, len(good) - k).values(), default=0.0)
+    one.update(other)
+    df = _grams(bad)
+    gains = _gains(df, len(bad), one, len(good))
     telling: list[bytes] = []
     for gram in sorted(gains, key=lambda g: (-round(gains[g], 6), -len(g), g)):
         if len(telling) >= count * 2 // 3 or (gains[gram] <= bar and len(telling) >= 8):
             break
         if not any((gram in t or t in gram) and min(df[gram], df[t]) >= 0.8 * max(df[gram], df[t]) for t in telling):
             telling.append(gram)
-    rest = [g for g in sorted(common, key=lambda g: (-common[g], g)) if g not in set(telling)]
+    taken = set(telling)
+    rest = heapq.nsmallest(count, (g for g in one if g not in taken), key=lambda g: (-one[g], g))
     return telling + rest[: count - len(telling)], len(telling)
 
 
