@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import packing, quality, toxicity
+from millrace.llm import exact_dedup, packing, quality, toxicity
 from millrace.llm.labelled import remainder
+from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
 
 QUERIES: dict = {}
@@ -78,6 +79,52 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path(TOKENIZER))
 
 
+_LINE_SQL = r"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(parts))) AS k, unnest(parts) AS line FROM cut),
+words AS (SELECT doc_id, k, line, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS w FROM lines),
+sets AS (
+  SELECT doc_id, k, w, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words WHERE len(w) > 0
+),
+grams AS (SELECT doc_id, k, len(s) AS n, unnest(s) AS g FROM sets),
+near AS (
+  SELECT a.doc_id, a.k FROM grams a JOIN grams b ON a.g = b.g AND (b.doc_id, b.k) < (a.doc_id, a.k)
+  GROUP BY a.doc_id, a.k, a.n, b.doc_id, b.k, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+gone AS (SELECT DISTINCT doc_id, k FROM near)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(c.parts) END AS n_lines,
+  (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN coalesce((
+    SELECT string_agg(l.line, chr(10) ORDER BY l.k) FROM lines l
+    WHERE l.doc_id = d.doc_id AND NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.k = l.k)
+  ), '') END AS text
+FROM documents d JOIN cut c USING (doc_id)
+"""
+
+
+@query("op3_line_dedup", _LINE_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+_EXACT_SQL = """
+WITH t AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+  doc_id = max(doc_id) OVER (PARTITION BY s) AS kept, s AS text_sha256
+FROM t
+"""
+
+
+@query("op4_exact_dedup", _EXACT_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
