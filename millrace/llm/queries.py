@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import exact_dedup, packing, quality, toxicity
+from millrace.llm.fingerprint import fingerprint_with_edits
 from millrace.llm.labelled import remainder
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
@@ -125,6 +126,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_with_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
