@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.neighbours import ordered_neighbours
 from millrace.llm.store import written
 
 WIDE, LANES = 4, 128
@@ -104,23 +105,13 @@ def likeness(x: str, y: str) -> Column:
 def _neighbours(keyed: DataFrame) -> DataFrame:
     """Keys (doc_id, tie) with the next key in order, the previous one and its half; the first follows the last.
 
-    Rows are dealt by range; what a range needs of the ranges beside it is one
-    row each.
     """
-    rows = keyed.select("doc_id", "tie", "n").distinct().repartitionByRange("doc_id", "tie")
-    rows = written(rows.select(F.struct("doc_id", "tie", "n").alias("k"), F.spark_partition_id().alias("part")), "fingerprint-order")
-    ends = rows.groupBy("part").agg(F.min("k").alias("low"), F.max("k").alias("high"))
-    order = Window.orderBy("part")  # one row for each range
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select(
-        F.col("part").alias("of"),
-        F.coalesce(F.lag("high").over(order), F.last("high").over(whole)).alias("before"),
-        F.coalesce(F.lead("low").over(order), F.first("low").over(whole)).alias("after"),
-    )
-    inside = Window.partitionBy("part").orderBy("k")
-    rows = rows.select("part", "k", F.lag("k").over(inside).alias("p"), F.lead("k").over(inside).alias("q"))
-    rows = rows.join(ends, F.col("part") == F.col("of"))
-    p, q = F.coalesce("p", "before"), F.coalesce("q", "after")
+    rows = ordered_neighbours(keyed.select("doc_id", "tie", "n"), ["doc_id", "tie"], "fingerprint-order")
+    first = rows.filter("before IS NULL").select(F.col("k").alias("first"), F.lit(1).alias("one"))
+    last = rows.filter("after IS NULL").select(F.col("k").alias("last"), F.lit(1).alias("two"))
+    rows = rows.withColumn("is_first", F.when(F.col("before").isNull(), 1)).withColumn("is_last", F.when(F.col("after").isNull(), 1))
+    rows = rows.join(F.broadcast(last), F.col("is_first") == F.col("two"), "left").join(F.broadcast(first), F.col("is_last") == F.col("one"), "left")
+    p, q = F.coalesce("before", "last"), F.coalesce("after", "first")
     return rows.select(
         F.col("k.doc_id").alias("k_id"), F.col("k.tie").alias("k_tie"), p["doc_id"].alias("prev_id"), p["tie"].alias("prev_tie"),
         F.floor(p["n"] / 2).cast("int").alias("prev_half"), q["doc_id"].alias("next_id"), q["tie"].alias("next_tie"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import exact_dedup, packing, quality, toxicity
 from millrace.llm.fingerprint import fingerprint_with_edits
+from millrace.llm.html_text import extract_text
 from millrace.llm.labelled import remainder
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
@@ -126,6 +127,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_with_edits(table(spark, sf_dir, "documents"))
