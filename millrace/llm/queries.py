@@ -8,6 +8,7 @@ from millrace.llm import exact_dedup, packing, quality, toxicity
 from millrace.llm.fingerprint import fingerprint_with_edits
 from millrace.llm.html_text import extract_text
 from millrace.llm.labelled import remainder
+from millrace.llm.licenses import RULES, SENTENCES, scan_licenses
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
 
@@ -61,6 +62,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(table(spark, sf_dir, "documents"))
 
 
+def _license_sql() -> str:
+    known = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
+    steps, before = [], "start"
+    for k, (run, name) in enumerate(RULES):
+        mark = " " + run.replace(" ", "  ") + " "
+        steps.append(
+            f"r{k} AS (SELECT doc_id, n_sentences, identifiers, replace(l, '{mark}', ' | ') AS l, "
+            f"CASE WHEN contains(l, '{mark}') AND NOT list_contains(names, '{name}') THEN list_append(names, '{name}') ELSE names END AS names FROM {before})"
+        )
+        before = f"r{k}"
+    return rf"""
+WITH known(s, i) AS (VALUES {known}),
+cut AS (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), '\n+') AS parts FROM documents),
+sentences AS (SELECT doc_id, unnest(range(len(parts))) AS k, trim(regexp_replace(lower(unnest(parts)), '[^a-z0-9]+', ' ', 'g')) AS s FROM cut),
+found AS (SELECT doc_id, string_agg(i, ' ' ORDER BY k) AS identifiers, count(*) AS n_sentences FROM sentences JOIN known USING (s) GROUP BY 1),
+start AS (
+  SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(identifiers, '') AS identifiers,
+    ' ' || replace(coalesce(identifiers, ''), ' ', '  ') || ' ' AS l, CAST([] AS VARCHAR[]) AS names
+  FROM documents LEFT JOIN found USING (doc_id)
+),
+{", ".join(steps)}
+SELECT doc_id, identifiers, array_to_string(names, ' ') AS licenses, n_sentences FROM {before}
+"""
+
+
+@query("op9_license_scan", _license_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def _scored(docs: DataFrame, held_out: Column, threshold: float) -> DataFrame:
     return docs.select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
