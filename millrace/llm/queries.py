@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import exact_dedup, packing, quality, toxicity
+from millrace.llm import exact_dedup, packing, pieces, quality, toxicity
 from millrace.llm.fingerprint import fingerprint_with_edits
 from millrace.llm.html_text import extract_text
 from millrace.llm.labelled import remainder
@@ -137,6 +137,12 @@ FROM documents d JOIN cut c USING (doc_id)
 """
 
 
+@query("op2_sentencepiece")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.encode_documents(docs, model=tokenizer_path("piece_bpe_32k.model"), kind="bpe", with_ids=False)
+
+
 @query("op3_line_dedup", _LINE_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
