@@ -5,12 +5,14 @@ equal words are copies. Other lines match when the Jaccard similarity of their
 token sets reaches the threshold. A line goes when an earlier line, by document
 id and then by place in the document, is a copy or a match.
 
-The join orders every line's tokens by rarity, from one table of counts of fixed
-size. Matching lines share a token among the first n - ceil(t n) + 1 of each, so
-only those meet, by token; length and position filters cut more. A token's rows
-first meet the earliest line of its list alone, which settles a group of near
-copies without its pairs. Only lines that this leaves unsettled meet the rest
-of their lists.
+Under any order of all tokens, matching lines share one among the first
+n - ceil(t n) + 1 of each. That holds for an order by hash, under which every
+line is seen once: only lines that meet another there can match at all. The
+tokens of those lines are counted and put in order of rarity, and the join
+itself runs on that order's prefixes, with length and position filters. A
+token's rows first meet the earliest line of its list alone, which settles a
+group of near copies without its pairs. Only lines that this leaves unsettled
+meet the rest of their lists.
 """
 
 from __future__ import annotations
@@ -20,12 +22,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.llm.store import written
 from millrace.session import BROADCAST_BYTES
 
-_BUCKET_BITS = 20
-_BUCKETS = 1 << _BUCKET_BITS
-_TOKEN_BITS = 48
-_SALTS = 16
-# Lines repeated most often, as many at most, are told from their first copy before they spread.
-_FREQUENT = 10_000
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -43,32 +39,42 @@ def _placed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.coalesce("version", F.lit(0)).alias("version"))
 
 
+def _cut(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, line): one row per line that has words; place orders the lines of an id.
+
+    Lines are in lower case, their words one blank apart.
+    """
+    cut = docs.select("doc_id", "version", F.posexplode(F.split(F.lower("text"), "\n")).alias("k", "raw"))
+    line = F.trim("raw")
+    # other white space than single blanks is rare: only lines that have it pay for the pattern
+    odd = F.contains("raw", F.lit("  "))
+    for code in (9, 11, 12, 13):
+        odd = odd | F.contains("raw", F.lit(chr(code)))
+    line = F.when(odd, F.trim(F.regexp_replace("raw", _WHITE, " "))).otherwise(line)
+    cut = cut.select("doc_id", (F.shiftleft("version", 32) + F.col("k")).alias("place"), line.alias("line"))
+    return cut.filter(F.col("line") != "")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, w): one row per line that has words; place orders the lines of an id."""
-    cut = docs.select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("k", "line"))
-    # upper case goes before the cut into words, white space at the ends after it
-    w = F.split(F.regexp_replace(F.lower("line"), rf"^{_WHITE}|{_WHITE}$", ""), _WHITE)
-    cut = cut.select("doc_id", (F.shiftleft("version", 32) + F.col("k")).alias("place"), w.alias("w"))
-    return cut.filter(F.col("w")[0] != "")
+    """(doc_id, place, w): the words of every line that has any."""
+    return _cut(docs).select("doc_id", "place", F.split("line", " ").alias("w"))
 
 
-def _tokens(words: Column, size: int) -> Column:
-    """Distinct shingles of a list of words, as hashes; a shorter list is one shingle."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size))))
+def _shingles(words: Column, size: int) -> Column:
+    """Shingles of a list of words, as hashes; a shorter list is one shingle."""
 
+    def of(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - size, F.lit(0)))
+        # single elements, as slice() goes over the whole list; past its end they are null and not hashed
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
 
-def _bucket(token: Column) -> Column:
-    return F.shiftrightunsigned(token, 64 - _BUCKET_BITS).cast("int")
+    # bound as a variable: the optimizer would else put the split into words inside the function
+    return F.transform(F.array(words), of)[0]
 
 
-def _classes(tokens: DataFrame) -> DataFrame:
-    """One row with rarity classes by bucket, two megabytes: steps of an eighth of a doubling of the count."""
-    counts = tokens.select(_bucket(F.col("t")).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
-    step = F.round(8 * F.log2(F.col("n") + 1)).cast("short").alias("c")
-    every = tokens.sparkSession.range(0, _BUCKETS, 1, 8).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("n"))
-    counts = counts.unionByName(every).groupBy("b").agg(F.sum("n").alias("n")).select("b", step)
-    return counts.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "c"))), lambda x: x["c"]).alias("classes"), F.lit(1).alias("one"))
+def _tokens(words: Column, size: int) -> Column:
+    """The distinct shingles."""
+    return F.array_distinct(_shingles(words, size))
 
 
 def _need(percent: int) -> str:
@@ -115,35 +121,43 @@ def find_repeated_lines(docs: DataFrame, *, words: int = 5, percent: int = 75) -
     version * 2^32 + line number from 0.
     """
     lines = _lines(docs)
-    copies = written(lines.select("doc_id", "place", F.xxhash64("w").alias("digest")), "lines-digests")
+    copies = written(_cut(docs).select("doc_id", "place", F.xxhash64("line").alias("digest")), "lines-digests")
     firsts = copies.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
     firsts = written(firsts.select(F.col("digest").alias("of"), F.col("first.doc_id").alias("doc2"), F.col("first.place").alias("place2"), "copies"), "lines-firsts")
     again = copies.join(firsts, F.col("digest") == F.col("of"))
     is_first = F.col("doc_id").eqNullSafe(F.col("doc2")) & (F.col("place") == F.col("place2"))
     again = written(again.filter(~is_first).select("doc_id", "place", "doc2", "place2", F.lit(1.0).alias("similarity")), "lines-copies")
 
-    tokens = lines.select(F.explode(_tokens(F.col("w"), words)).alias("t"))
-    classes = F.broadcast(written(_classes(tokens), "lines-classes"))
-    frequent = firsts.orderBy(F.desc("copies"), "of").limit(_FREQUENT).select("of", "doc2", "place2")
-    fresh = lines.filter(F.size("w") > words).withColumn("digest", F.xxhash64("w"))
-    fresh = fresh.join(F.broadcast(frequent), F.col("digest") == F.col("of"), "left").filter(F.col("of").isNull() | is_first)
-    fresh = fresh.join(classes, F.lit(1) == F.col("one"))  # that one row
-    mask = F.lit((1 << _TOKEN_BITS) - 1)
-    ranked = F.sort_array(
-        F.transform(_tokens(F.col("w"), words), lambda t: F.shiftleft(F.col("classes")[_bucket(t)].cast("long"), _TOKEN_BITS).bitwiseOR(t.bitwiseAND(mask)))
-    )
-    fresh = fresh.select("doc_id", "place", ranked.alias("ranked")).withColumn("n", F.size("ranked"))
-    prefix = F.slice("ranked", 1, F.expr(f"n - ({percent} * n + 99) DIV 100 + 1"))
-    rows = fresh.select("doc_id", "place", "n", F.posexplode(prefix).alias("pos", "token"))
-    # tokens that may be in very many lists spread over several tasks and skip the count
-    hot = F.shiftright("token", _TOKEN_BITS) >= F.lit(8 * 14)
-    salt = F.when(hot, F.pmod(F.xxhash64("doc_id", "place"), F.lit(_SALTS))).otherwise(F.lit(0))
-    rows = rows.withColumn("salt", salt)
-    rows = rows.withColumn("held", F.count("*").over(Window.partitionBy("token", "salt"))).filter((F.col("held") > 1) | hot)
-    rows = rows.select("token", "doc_id", "place", "n", "pos")
     gone = again.select(F.col("doc_id").alias("gone"), F.col("place").alias("gone_at"))
     here = F.col("doc_id").eqNullSafe(F.col("gone")) & (F.col("place") == F.col("gone_at"))
-    rows = written(rows.join(gone, here, "left_anti"), "lines-rows")
+    few = again.count() * 96 <= BROADCAST_BYTES
+    fresh = lines.filter(F.size("w") > words)
+    if few:  # copies need not be looked at again; else they go once the rows are small
+        fresh = fresh.join(F.broadcast(gone), here, "left_anti")
+    fresh = fresh.select("doc_id", "place", F.sort_array(_tokens(F.col("w"), words)).alias("t")).withColumn("n", F.size("t"))
+    prefix = F.slice("t", 1, F.expr(f"n - ({percent} * n + 99) DIV 100 + 1"))
+    met = fresh.select("doc_id", "place", F.explode(prefix).alias("token"))
+    # one narrow row per token: ids only, sorted and counted where they meet
+    met = met.withColumn("held", F.count("*").over(Window.partitionBy("token")))
+    meeting = met.filter("held > 1").select("doc_id", "place").distinct()
+    if not few:
+        meeting = meeting.join(gone, here, "left_anti")
+    meeting = written(meeting.select(F.col("doc_id").alias("need"), F.col("place").alias("at")), "lines-meeting")
+
+    # the lines that met another, with their tokens by rarity among them
+    ids = _small(meeting.select(F.col("need").alias("whole")).distinct(), 64)
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("whole")), "left_semi")
+    there = F.col("doc_id").eqNullSafe(F.col("need")) & (F.col("place") == F.col("at"))
+    sets = _lines(texts).join(_small(meeting, 96), there, "left_semi").select("doc_id", "place", _tokens(F.col("w"), words).alias("t"))
+    # the size goes first: else every token's row would carry the whole list up to here
+    sets = sets.withColumn("n", F.size("t"))
+    tokens = written(sets.select("doc_id", "place", "n", F.explode("t").alias("token")), "lines-tokens")
+    df = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").withColumnRenamed("token", "in")
+    ranked = tokens.join(df, F.col("token") == F.col("in"), "left")
+    order = Window.partitionBy("doc_id", "place").orderBy(F.coalesce("df", F.lit(1)), "token")
+    ranked = ranked.select("token", "doc_id", "place", "n", F.coalesce("df", F.lit(1)).alias("df"), (F.row_number().over(order) - 1).alias("pos"))
+    kept = ranked.filter(f"pos <= n - ({percent} * n + 99) DIV 100 AND df > 1")
+    rows = written(kept.select("token", "doc_id", "place", "n", "pos"), "lines-rows")
 
     heads = rows.groupBy("token").agg(F.min(F.struct("doc_id", "place", "n", "pos")).alias("head"), F.count("*").alias("held")).filter("held > 1")
     heads = heads.select(
@@ -187,7 +201,7 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     gone = gone.groupBy("doc_id", F.shiftright("place", 32).alias("gone_version")).agg(
         F.collect_set(F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("gone_lines")
     )
-    gone = gone.select(F.col("doc_id").alias("gone_id"), "gone_version", F.xxhash64("doc_id", "gone_version").alias("gone_key"), "gone_lines")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), "gone_version", "gone_lines")
     rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     row = row.select("row", F.col("row")[id_column].cast("long").alias("doc_id"), F.col("row")[text_column].alias("text"))
@@ -198,7 +212,9 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
         same = F.col("doc_id").eqNullSafe(F.col("v_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("v_tie"))
         row = row.join(versions, same, "left")
     here = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("version") == F.col("gone_version"))
-    row = row.join(gone, here, "left").withColumn("cut", F.split("text", "\n"))
+    gone = written(gone, "lines-gone")
+    size = gone.agg(F.sum(F.size("gone_lines") * 4 + 96)).first()[0] or 0
+    row = row.join(F.broadcast(gone) if size <= BROADCAST_BYTES else gone, here, "left").withColumn("cut", F.split("text", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), F.col("gone_lines"))
     text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda k: F.col("cut")[k]), "\n"))
     return row.select(
