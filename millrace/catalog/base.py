@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import Keys
-from millrace.session import spread
+from millrace.session import laid_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,9 +44,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_lines(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
-    """Columns of lineitem for a job of several passes, on all cores."""
-    return spread(table(spark, sf_dir, "lineitem").select(*columns))
+# Partitions of the rows a model is fitted on.
+LAYOUT = 32
+
+
+def line_rows(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """Columns of lineitem for a fit, laid out by the line's keys."""
+    lines = table(spark, sf_dir, "lineitem")
+    keys = [F.col(k).alias(f"_{k}") for k in LINE_KEYS]
+    wanted = lines.select(*columns)
+    dealt = laid_out(lines.select(*keys, *columns), LAYOUT, *[f"_{k}" for k in LINE_KEYS])
+    return dealt.select(*wanted.columns)
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from millrace.catalog.base import exprs, query, rounded, select_sql, spread_lines, table
+from millrace.catalog.base import exprs, query, rounded, select_sql, line_rows, table
 from millrace.functions import as_doubles, squared_distance
 from millrace.operators.cluster import (
     at_least_kth,
@@ -127,7 +127,7 @@ _TEXTS = ["l_returnflag", "l_linestatus"]
 
 @query("kmeans_default")
 def kmeans_default(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS, "l_returnflag")
+    lines = line_rows(spark, sf_dir, *_NUMBERS, "l_returnflag")
     return cluster(lines, numeric_features(lines, "l_returnflag")).label_counts(lines, "l_returnflag")
 
 
@@ -140,53 +140,67 @@ FROM lineitem GROUP BY 1, 2
 """,
 )
 def kmeans_default_groups(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
+    lines = line_rows(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
     found = cluster(lines, numeric_features(lines, "l_returnflag"))
     counts = found.label_counts(lines, "l_returnflag").withColumnRenamed("l_returnflag", "label")
     centered = join_centers(counts, found.centers(spark))
     return rounded(centered.select(F.col("center")[0].alias("center"), "label", "n"), "center")
 
 
+@query(
+    "kmeans_largest_labels",
+    """
+SELECT CAST(l_linestatus = 'O' AS DOUBLE) AS center, l_returnflag AS label, count(*) AS n
+FROM lineitem GROUP BY 1, 2
+""",
+)
+def kmeans_largest_labels(spark, sf_dir):
+    lines = line_rows(spark, sf_dir, (F.col("l_linestatus") == "O").cast("int").alias("is_open"), "l_returnflag")
+    found = cluster(lines, numeric_features(lines, "l_returnflag"))
+    centered = join_centers(found.largest_labels(lines, "l_returnflag"), found.centers(spark))
+    return rounded(centered.select(F.col("center")[0].alias("center"), F.col("l_returnflag").alias("label"), "n"), "center")
+
+
 @query("kmeans_centers")
 def kmeans_centers(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS)
+    lines = line_rows(spark, sf_dir, *_NUMBERS)
     centers = cluster(lines, numeric_features(lines, ""), k=5).centers(spark)
     return centers.select("cluster", F.posexplode("center").alias("pos", "value"))
 
 
 @query("kmeans_cost_default")
 def kmeans_cost_default(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS)
+    lines = line_rows(spark, sf_dir, *_NUMBERS)
     return cost_sweep(lines, numeric_features(lines, ""), [10])
 
 
 @query("kmeans_cost_tight")
 def kmeans_cost_tight(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_NUMBERS)
+    lines = line_rows(spark, sf_dir, *_NUMBERS)
     return cost_sweep(lines, numeric_features(lines, ""), [20], **TIGHT)
 
 
 @query("kmeans_cost_scaled")
 def kmeans_cost_scaled(spark, sf_dir):
-    with held(spread_lines(spark, sf_dir, *_NUMBERS)) as lines:
+    with held(line_rows(spark, sf_dir, *_NUMBERS)) as lines:
         return cost_sweep(lines, fit_scaled_features(lines, ""), [20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_cost_onehot")
 def kmeans_cost_onehot(spark, sf_dir):
-    with held(spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS)) as lines:
+    with held(line_rows(spark, sf_dir, *_NUMBERS, *_TEXTS)) as lines:
         return cost_sweep(lines, fit_connection_features(lines, "", _TEXTS), [20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_k_sweep")
 def kmeans_k_sweep(spark, sf_dir):
-    with held(spread_lines(spark, sf_dir, *_NUMBERS)) as lines:
+    with held(line_rows(spark, sf_dir, *_NUMBERS)) as lines:
         return cost_sweep(lines, fit_scaled_features(lines, ""), [5, 10, 20], "scaledFeatures", **TIGHT)
 
 
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(spark, sf_dir):
-    with held(spread_lines(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")) as lines:
+    with held(line_rows(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")) as lines:
         features = fit_connection_features(lines, "l_linenumber", _TEXTS)
         return entropy_sweep(lines, features, "l_linenumber", [5, 10, 20], **TIGHT)
 
@@ -204,7 +218,7 @@ SELECT k.k AS k, 0.0::DOUBLE AS cost, round(sum(-n * ln(p)) / sum(n), 6) AS entr
 """,
 )
 def kmeans_groups_entropy(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *_TEXTS, "l_linenumber")
+    lines = line_rows(spark, sf_dir, *_TEXTS, "l_linenumber")
     k = lines.select(*_TEXTS).distinct().count()
     features = PipelineModel([fit_one_hot(lines, _TEXTS), assembler([f"{c}_vec" for c in _TEXTS])])
     found = cluster(lines, features, k, initSteps=10)
@@ -233,7 +247,7 @@ SELECT CAST(status AS DOUBLE) AS status, round(price_mean, 6) AS price, round(qu
 """,
 )
 def kmeans_two_groups_centers(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *exprs(_WIDE))
+    lines = line_rows(spark, sf_dir, *exprs(_WIDE))
     centers = cluster(lines, numeric_features(lines, ""), k=2).centers(spark)
     slots = [F.col("center")[i].alias(name) for i, name in enumerate(_WIDE)]
     return rounded(centers.select(*slots), *_WIDE)
@@ -241,7 +255,7 @@ def kmeans_two_groups_centers(spark, sf_dir):
 
 @query("kmeans_two_groups_cost", f"WITH {_WIDE_GROUPS} SELECT CAST(2 AS INT) AS k, round(avg(dist), 6) AS score FROM a")
 def kmeans_two_groups_cost(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *exprs(_WIDE))
+    lines = line_rows(spark, sf_dir, *exprs(_WIDE))
     return rounded(cost_sweep(lines, numeric_features(lines, ""), [2], **TIGHT), "score")
 
 
@@ -254,13 +268,13 @@ SELECT l_orderkey, status, price, quantity, round(dist, 6) AS dist FROM a, t WHE
 """,
 )
 def anomalies_two_groups(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, "l_orderkey", *exprs(_WIDE))
+    lines = line_rows(spark, sf_dir, "l_orderkey", *exprs(_WIDE))
     found = cluster(lines, numeric_features(lines, "", ["l_orderkey"]), k=2, **TIGHT)
     return rounded(found.anomalies(lines, 100).drop("cluster"), "dist")
 
 
 @query("anomalies")
 def anomalies(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
+    lines = line_rows(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
     _, found = detect_anomalies(lines, "l_linenumber", _TEXTS, drop=["l_orderkey"], k=20)
     return found

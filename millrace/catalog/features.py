@@ -32,6 +32,19 @@ def string_index(spark, sf_dir):
     return index_table(events, ["event_type"], invalid="error").drop("event_type")
 
 
+@query(
+    "string_index_wide",
+    """
+WITH t AS (SELECT user_id AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(user_id AS VARCHAR)) - 1 AS DOUBLE) AS i
+           FROM events GROUP BY 1)
+SELECT event_id, value, t.i AS user_id_index FROM events JOIN t ON events.user_id = t.v
+""",
+)
+def string_index_wide(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return index_table(events, ["user_id"], max_labels=5).drop("user_id")
+
+
 # events whose type counts as unknown, to have nulls to skip
 _UNKNOWN = "CASE WHEN value < 5 THEN NULL ELSE event_type END"
 

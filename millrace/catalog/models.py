@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.base import (
     BINARY,
     FLAG_CODE,
+    LAYOUT,
     LINE,
     LINE_KEYS,
     bucket_sql,
@@ -19,7 +20,7 @@ from millrace.catalog.base import (
     query,
     rounded,
     select_sql,
-    spread_lines,
+    line_rows,
     table,
     value_metrics_sql,
 )
@@ -30,7 +31,7 @@ from millrace.operators.encode import assembler
 from millrace.operators.split import hash_split
 from millrace.plans import boosting, regression, trees
 from millrace.plans.tuning import SALT, bucketed, k_folds, param_grid, tune
-from millrace.session import shared_path, spread
+from millrace.session import laid_out, shared_path
 
 _BUCKET = bucket_sql(LINE_KEYS, 10)
 _SIGNS = {k: v for k, v in BINARY.items() if k != "price_high"}
@@ -39,7 +40,7 @@ _NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def _split(spark, sf_dir, spec):
     """The columns given as name: expression over lineitem, split 9 to 1 by line."""
-    lines = spread_lines(spark, sf_dir, *exprs(_KEYS | spec))
+    lines = line_rows(spark, sf_dir, *exprs(_KEYS | spec))
     train, test = hash_split(lines, LINE)
     return train.select(*spec), test.select(*spec)
 
@@ -88,6 +89,17 @@ def decision_tree(spark, sf_dir):
     return rounded(trees.decision_tree(*_split(spark, sf_dir, _FLAG_COLUMNS), "label").class_metrics(), "value")
 
 
+@query(
+    "decision_tree_confusion",
+    f"""WITH {_cells_sql(FLAG_CODE, BINARY)}
+SELECT CAST(label AS DOUBLE) AS label, count(*) FILTER (prediction = 0) AS n_0, count(*) FILTER (prediction = 1) AS n_1,
+       count(*) FILTER (prediction = 2) AS n_2 FROM pred GROUP BY 1""",
+)
+def decision_tree_confusion(spark, sf_dir):
+    cells = trees.decision_tree(*_split(spark, sf_dir, _FLAG_COLUMNS), "label").confusion()
+    return cells.select("label", *[F.col(f"`pred_{i}.0`").alias(f"n_{i}") for i in range(3)])
+
+
 def _sides_sql(chosen: str) -> str:
     """Accuracy on both parts of the predictions in a CTE named both_parts."""
     return f"""
@@ -234,7 +246,7 @@ SELECT feature, round(importance, 6) AS importance,
 """,
 )
 def feature_importances(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, *exprs({"quantity": "l_quantity"} | _STEPS))
+    lines = line_rows(spark, sf_dir, *exprs({"quantity": "l_quantity"} | _STEPS))
     fitted = trees.random_forest_regressor(lines, lines, "quantity", **_PLAIN)
     return rounded(fitted.importances(), "importance")
 
@@ -264,7 +276,7 @@ SELECT feature, x AS value FROM q ORDER BY purity DESC LIMIT 1
 def decision_stump(spark, sf_dir):
     """Column of the root split and the highest value that goes left."""
     features = ["l_discount", "l_tax"]
-    train = spread_lines(spark, sf_dir, *exprs(_FLAG), *features)
+    train = line_rows(spark, sf_dir, *exprs(_FLAG), *features)
     fitted = trees.decision_tree(train, train, "label", maxDepth=1)
     root = fitted.model.stages[-1].toDebugString
     slot, threshold = re.search(r"feature (\d+) <= ([0-9.eE+-]+)", root).groups()
@@ -400,7 +412,7 @@ FROM lineitem
 """,
 )
 def linear_regression_ols(spark, sf_dir):
-    lines = spread_lines(spark, sf_dir, "l_quantity", "l_extendedprice")
+    lines = line_rows(spark, sf_dir, "l_quantity", "l_extendedprice")
     fitted = regression.linear_regression(lines, lines, "l_extendedprice", regParam=0.0)
     long = fitted.coefficients()
     wide = long.groupBy().pivot("feature", ["l_quantity", "intercept"]).agg(F.first("coefficient"))
@@ -410,7 +422,7 @@ def linear_regression_ols(spark, sf_dir):
 @query("one_vs_rest")
 def one_vs_rest(spark, sf_dir):
     vector = array_to_vector(as_doubles("embedding")).alias("vector")
-    vectors = spread(table(spark, sf_dir, "embeddings").select("vec_id", "label", vector))
+    vectors = laid_out(table(spark, sf_dir, "embeddings").select("vec_id", "label", vector), LAYOUT, "vec_id")
     train, test = hash_split(vectors, ["vec_id"])
     fitted = regression.one_vs_rest(train, test, "label", ["vector"], maxIter=10)
     return rounded(fitted.class_metrics(), "value")
@@ -459,7 +471,7 @@ SELECT CAST(row_number() OVER (ORDER BY metric DESC, params) AS INT) AS "rank",
 )
 def grid_report(spark, sf_dir):
     names = list(BINARY)
-    lines = spread_lines(spark, sf_dir, *exprs(_KEYS | _FLAG_COLUMNS))
+    lines = line_rows(spark, sf_dir, *exprs(_KEYS | _FLAG_COLUMNS))
     rows = assembler(names).transform(bucketed(lines, LINE, 3)).select(
         F.col("label").cast("double").alias("label"), "_bucket", "features"
     )

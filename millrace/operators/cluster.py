@@ -36,18 +36,30 @@ def group_centers(df: DataFrame, group: str, vector: str) -> DataFrame:
 
 def _nearest(centers: list[tuple[int, list[float]]]):
     """A column function: the better of the best center so far and these."""
-    ids = [int(i) for i, _ in centers]
-    points = [np.asarray(c, dtype="float64") for _, c in centers]
+    ids = np.array([int(i) for i, _ in centers], dtype="int32")
+    points = np.array([c for _, c in centers], dtype="float64")
+    norms = np.square(points).sum(axis=1)
 
     @F.pandas_udf("cluster int, dist double")
     def closer(vector: pd.Series, cluster: pd.Series, dist: pd.Series) -> pd.DataFrame:
         best, found = dist.to_numpy("float64").copy(), cluster.to_numpy("int32").copy()
-        if len(vector):
-            rows = np.stack(vector.to_numpy())
-            for i, point in zip(ids, points):
-                d = np.square(rows - point).sum(axis=1)
-                nearer = d < best
-                best[nearer], found[nearer] = d[nearer], i
+        use = np.array([v is not None and not np.isnan(np.asarray(v, "float64")).any() for v in vector], dtype=bool)
+        at = np.flatnonzero(use)
+        for lo in range(0, len(at), 4096):
+            part = at[lo : lo + 4096]
+            rows = np.stack([np.asarray(v, "float64") for v in vector.iloc[part]])
+            # |x|^2 - 2 x.c + |c|^2 only picks; near ties and the distance itself are taken exactly
+            rough = norms - 2 * (rows @ points.T)
+            low = rough.min(axis=1)
+            slack = 1e-9 * (np.square(rows).sum(axis=1) + norms.max())
+            near = rough <= (low + slack)[:, None]
+            r, c = np.nonzero(near)
+            exact = np.square(rows[r] - points[c]).sum(axis=1)
+            order = np.lexsort((ids[c], exact, r))
+            first = order[np.concatenate([[True], r[order][1:] != r[order][:-1]])]
+            d, pick = exact[first], ids[c[first]]
+            nearer = d < best[part]
+            best[part[nearer]], found[part[nearer]] = d[nearer], pick[nearer]
         return pd.DataFrame({"cluster": found, "dist": best})
 
     return closer
@@ -56,12 +68,15 @@ def _nearest(centers: list[tuple[int, list[float]]]):
 def nearest_center(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
     """Add the closest center's id and squared distance; ties go to the lower id.
 
+    A null vector, or one with a null or NaN in it, gets a null id and distance.
     No join and no shuffle: the centers visit the rows, in blocks of a bounded
     size. A center set above that bound takes one pass per block, with the best
     so far written to shared storage in between.
     """
     rows = iter(centers.orderBy("cluster").toLocalIterator())
-    first = next(rows)
+    first = next(rows, None)
+    if first is None:
+        raise ValueError("no centers to be near to")
     block_rows = max(1, BROADCAST_BYTES // (8 * len(first.center)))
     rows = chain([first], rows)
     out = df.withColumn("_best", F.struct(F.lit(-1).alias("cluster"), F.lit(float("inf")).alias("dist")))
@@ -72,29 +87,32 @@ def nearest_center(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
         block = list(islice(rows, block_rows))
         if block:
             out = cut_lineage(out)
-    return out.select(*df.columns, "_best.cluster", "_best.dist")
+    known = F.col("_best.cluster") >= 0
+    return out.select(
+        *df.columns, F.when(known, F.col("_best.cluster")).alias("cluster"), F.when(known, F.col("_best.dist")).alias("dist")
+    )
 
 
-def join_centers(df: DataFrame, centers: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Give each row the center of its own cluster.
+def join_centers(df: DataFrame, centers: DataFrame, cluster: str = "cluster", name: str = "center") -> DataFrame:
+    """Give each row the center of its own cluster, null where there is none.
 
     Centers within the size limit are broadcast. A larger set takes a shuffle
     join, where adaptive execution splits the partition of a cluster that holds
     a large part of the rows.
     """
-    named = centers.withColumnRenamed("cluster", cluster)
+    centers = cut_lineage(centers)  # their plan runs once, for the size and the join
+    named = centers.select(F.col("cluster").alias("_of_cluster"), F.col("center").alias(name))
     size = centers.agg(F.sum(8 * F.size("center") + 16)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        return df.join(F.broadcast(named), cluster)
-    return df.join(named.hint("merge"), cluster)
+    named = F.broadcast(named) if size <= BROADCAST_BYTES else named.hint("merge")
+    return df.join(named, F.col(cluster) == F.col("_of_cluster"), "left").drop("_of_cluster")
 
 
 def distance_to_center(
     df: DataFrame, centers: DataFrame, vector: str, cluster: str = "cluster", name: str = "dist"
 ) -> DataFrame:
-    """Add the squared distance of each row to the center of its own cluster."""
-    joined = join_centers(df, centers, cluster)
-    return joined.select(*df.columns, squared_distance(F.col(vector), F.col("center")).alias(name))
+    """Add the squared distance of each row to the center of its own cluster, null where that has none."""
+    joined = join_centers(df, centers, cluster, "_own_center")
+    return joined.select(*df.columns, squared_distance(F.col(vector), F.col("_own_center")).alias(name))
 
 
 def mean_cost(df: DataFrame, dist: str = "dist") -> DataFrame:

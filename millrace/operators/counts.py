@@ -29,6 +29,11 @@ def cluster_label_counts(df: DataFrame, cluster: str = "cluster", label: str = "
     return count_by(df, cluster, label).orderBy(cluster, label)
 
 
+def largest_cluster_labels(df: DataFrame, cluster: str = "cluster", label: str = "label", top: int = 25) -> DataFrame:
+    """The first rows of the cluster x label counts, by cluster and then the largest count."""
+    return count_by(df, cluster, label).orderBy(cluster, F.desc("n"), label).limit(top)
+
+
 def class_priors(df: DataFrame, label: str) -> DataFrame:
     """Share of each class."""
     counts = count_by(df, label)
@@ -70,12 +75,16 @@ def _square(cells: DataFrame, classes: Sequence) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
-    """One row per label, one column per class given by the caller."""
+    """One row per label, one column per class given by the caller; other predictions are not shown."""
     return _square(confusion_cells(df, label, prediction), classes)
 
 
 def confusion_matrix_all_labels(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """The same with the classes taken from both columns of the data."""
+    """The same with the classes taken from both columns of the data.
+
+    Rows without a prediction are counted in pred_null, which is there if any
+    are; rows without a label have a row of their own.
+    """
     cells = cut_lineage(confusion_cells(df, label, prediction))  # one pass over the rows
     both = cells.select(F.explode(F.array("label", "prediction")).alias("c"))
     seen = both.where("c IS NOT NULL").distinct().orderBy("c").limit(MAX_PIVOT_CLASSES + 1)
@@ -85,7 +94,12 @@ def confusion_matrix_all_labels(df: DataFrame, label: str, prediction: str) -> D
     every = both.where("c IS NOT NULL").select(
         F.col("c").alias("label"), F.col("c").alias("prediction"), F.lit(0).cast("bigint").alias("n")
     )
-    return _square(cells.unionByName(every), classes)
+    square = _square(cells.unionByName(every), classes)
+    missing = cells.where("prediction IS NULL").select(F.col("label").alias("_of"), F.col("n").alias("pred_null"))
+    if missing.isEmpty():
+        return square
+    square = square.join(missing, F.col("label").eqNullSafe(F.col("_of")), "left").drop("_of")
+    return square.withColumn("pred_null", F.coalesce("pred_null", F.lit(0).cast("bigint"))).orderBy("label")
 
 
 # With N = sum of n, the entropy -sum(n/N ln(n/N)) equals ln N - sum(n ln n)/N.

@@ -12,14 +12,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorIndexer,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, NumericType, StringType
 
 from millrace.functions import one_hot_position
 from millrace.operators.rank import total_before
 from millrace.session import BROADCAST_BYTES, held
 
-# Categories of one column that may travel through the driver into a model.
+# Categories, of all columns of a fit together, that may travel through the driver into a model.
 MAX_MODEL_LABELS = 100_000
 
 # Most frequent categories that are looked up by broadcast when a column has more than that.
@@ -70,8 +70,16 @@ def _sizes(counts: DataFrame) -> dict[str, tuple[int, int]]:
     return {row["column"]: (row["rows"], row["bytes"]) for row in held_by.collect()}
 
 
-def _is_few(size: tuple[int, int], max_labels: int) -> bool:
-    return size[0] <= max_labels and size[1] <= BROADCAST_BYTES
+def _few(sizes: Mapping[str, tuple[int, int]], columns: Sequence[str], max_labels: int) -> list[str]:
+    """Columns whose categories, all taken together, may travel through the driver; smaller ones first."""
+    few, labels, size = [], 0, 0
+    for c in sorted(columns, key=lambda c: sizes.get(c, (0, 0))):
+        n, held_bytes = sizes.get(c, (0, 0))
+        labels, size = labels + n, size + held_bytes
+        if labels > max_labels or size > BROADCAST_BYTES:
+            break
+        few.append(c)
+    return [c for c in columns if c in few]
 
 
 def _indexer(counts: DataFrame, columns: Sequence[str], suffix: str, invalid: str) -> PipelineModel:
@@ -102,7 +110,9 @@ def fit_indexer(
     checked before any of them reaches the driver.
     """
     with held(category_counts(df, columns)) as counts:
-        wide = {c: size for c, size in _sizes(counts).items() if not _is_few(size, max_labels)}
+        sizes = _sizes(counts)
+        few = _few(sizes, columns, max_labels)
+        wide = {c: sizes[c] for c in columns if c not in few}
         if wide:
             raise TooManyCategories(f"too many categories for a model: {wide}; index_table has no such limit")
         return _indexer(counts, columns, suffix, invalid)
@@ -122,7 +132,7 @@ def index_table(
     """
     with held(category_counts(df, columns)) as counts:
         sizes = _sizes(counts)
-        few = [c for c in columns if _is_few(sizes.get(c, (0, 0)), max_labels)]
+        few = _few(sizes, columns, max_labels)
         wide = [c for c in columns if c not in few]
         out = _indexer(counts, few, suffix, invalid).transform(df) if few else df
         for c in wide:
@@ -136,32 +146,51 @@ def _ranked(counts: DataFrame, column: str) -> DataFrame:
     return total_before(one, "one", F.desc("n"), F.asc("value"), name="rank").select("value", "rank")
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def _index_wide(
     df: DataFrame, column: str, ranked: DataFrame, size: int, out: str, invalid: str
 ) -> DataFrame:
-    """Look up a rank that is too large to broadcast whole.
+    """Look up a rank that is too large to broadcast whole, in one pass over the rows.
 
     The rank is by frequency, so its first rows are exactly the hot keys. They
-    are broadcast, as many as surely fit the size limit. What they do not cover
-    goes through a shuffle join on keys that no longer hold many rows each.
+    are broadcast, as many as surely fit the size limit. The others are joined
+    by shuffle. Rows that need no second lookup take part in it under a salt
+    that matches nothing, so that hot keys and nulls do not meet in one task.
     """
     longest = ranked.agg(F.max(F.octet_length("value"))).first()[0]
     head = max(1, min(HEAD_ROWS, BROADCAST_BYTES // (longest + 64)))
-    key = F.col(column).cast("string")
-    code = F.col("rank").cast("double").alias(out)
-    hot = F.broadcast(ranked.where(F.col("rank") < head))
-    cold = ranked.where(F.col("rank") >= head)
-    marked = df.join(hot, key == hot["value"], "left").drop("value")
-    found = marked.where("rank IS NOT NULL").select(*df.columns, code)
-    rest = marked.where("rank IS NULL").where(key.isNotNull()).drop("rank")
-    parts = found.unionByName(rest.join(cold, key == cold["value"]).select(*df.columns, code))
-    if invalid == "skip":
-        return parts
-    empty = df.where(key.isNull())
+    key, hot_key, hot, cold_key, cold, salt, zero = (
+        _free(df, f"_code_{x}") for x in ("key", "hot_key", "hot", "cold_key", "cold", "salt", "zero")
+    )
+    hot_rows = ranked.where(F.col("rank") < head).select(F.col("value").alias(hot_key), F.col("rank").alias(hot))
+    cold_rows = ranked.where(F.col("rank") >= head).select(
+        F.col("value").alias(cold_key), F.col("rank").alias(cold), F.lit(0).alias(zero)
+    )
+    own = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.select(*own, F.col(f"`{column}`").cast("string").alias(key))
+    marked = keyed.join(F.broadcast(hot_rows), F.col(key) == F.col(hot_key), "left")
+    done = F.col(hot).isNotNull() | F.col(key).isNull()
+    spread = 1 + F.pmod(F.xxhash64(*[c for c in own if not _has_map(df, c)]), F.lit(1024)).cast("int")
+    marked = marked.withColumn(salt, F.when(done, spread).otherwise(0)).withColumn(key, F.coalesce(key, F.lit("")))
+    met = marked.join(cold_rows, (F.col(key) == F.col(cold_key)) & (F.col(salt) == F.col(zero)), "left")
+    code = F.coalesce(hot, cold).cast("double")
     if invalid == "keep":
-        return parts.unionByName(empty.select(*df.columns, F.lit(float(size)).alias(out)))
-    stop = F.raise_error(F.lit(f"null category in {column}")).cast("double")
-    return parts.unionByName(empty.select(*df.columns, stop.alias(out)))
+        code = F.coalesce(code, F.lit(float(size)))
+    elif invalid == "error":
+        code = F.coalesce(code, F.raise_error(F.lit(f"null category in {column}")).cast("double"))
+    found = met.select(*own, code.alias(out))
+    return found.where(F.col(f"`{out}`").isNotNull()) if invalid == "skip" else found
+
+
+def _has_map(df: DataFrame, column: Column) -> bool:
+    """Whether the column holds a map, which has no hash."""
+    return "map<" in df.select(column).schema.fields[0].dataType.simpleString()
 
 
 def assembler(columns: Sequence[str], output: str = "features", invalid: str = "error") -> VectorAssembler:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.session import cut_lineage
 
-# Up to this k the k-th value comes from a top-k plan; above, from a full sort.
-TOP_K_ROWS = 100_000
+# A top-k plan brings k rows of each partition together. Above so many rows in all, the k-th value comes from a ranking.
+TOP_K_ROWS = 1_000_000
 
 # monotonically_increasing_id holds the row's place inside its partition in the low bits.
 _PLACE_BITS = 33
@@ -40,7 +40,7 @@ def total_before(df: DataFrame, weight: str, *order: Column, name: str = "rank")
 
 def kth_largest(df: DataFrame, value: str, k: int, name: str = "threshold") -> DataFrame:
     """One row: the k-th largest value, or the smallest when there are fewer."""
-    if k <= TOP_K_ROWS:
+    if k * df.rdd.getNumPartitions() <= TOP_K_ROWS:
         return df.select(value).orderBy(F.desc(value)).limit(k).agg(F.min(value).alias(name))
     counts = df.groupBy(value).agg(F.count("*").alias("n"))
     ranked = total_before(counts, "n", F.desc(value))

@@ -6,15 +6,16 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.cluster import at_least_kth, center_table, distance_to_center, mean_cost
-from millrace.operators.counts import cluster_label_counts, weighted_entropy
+from millrace.operators.counts import cluster_label_counts, largest_cluster_labels, weighted_entropy
 from millrace.plans.models import SEED
-from millrace.session import held
+from millrace.session import cut_lineage, held
 
 # Settings the results have to match.
 TIGHT = {"maxIter": 40, "tol": 1e-5}
@@ -39,6 +40,10 @@ class Clusters:
     def label_counts(self, df: DataFrame, label: str) -> DataFrame:
         return cluster_label_counts(self.assign(df), "cluster", label)
 
+    def largest_labels(self, df: DataFrame, label: str, top: int = 25) -> DataFrame:
+        """The first rows of the counts, by cluster and then the largest count."""
+        return largest_cluster_labels(self.assign(df), "cluster", label, top)
+
     def centers(self, spark) -> DataFrame:
         return center_table(spark, self.model)
 
@@ -55,8 +60,11 @@ class Clusters:
         return weighted_entropy(self.assign(df), "cluster", label)
 
     def anomalies(self, df: DataFrame, top: int = ANOMALY_TOP) -> DataFrame:
-        """Rows at least as far from their center as the top-th farthest row."""
-        return at_least_kth(self.distances(df), "dist", top)
+        """Rows at least as far from their center as the top-th farthest row.
+
+        The distances are written once, for the threshold and the rows above it.
+        """
+        return at_least_kth(cut_lineage(self.distances(df)), "dist", top)
 
     def _predict(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.features.transform(df))
@@ -97,7 +105,7 @@ def _sweep(
             return k, float(score(Clusters(vectors, model, vector), rows).first()[0])
 
         rows.count()
-        scored = pool.map(one, ks, chunksize=1)
+        scored = pool.map(inheritable_thread_target(one), ks, chunksize=1)
     return df.sparkSession.createDataFrame(scored, "k int, score double")
 
 

@@ -9,9 +9,10 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import evaluate, inspect
+from millrace.operators.counts import confusion_matrix_all_labels
 from millrace.operators.encode import assembler, feature_columns
 from millrace.plans.features import fit_mixed_features, mixed_feature_names
-from millrace.session import held
+from millrace.session import held, shared_dir
 
 SEED = 17
 
@@ -33,6 +34,14 @@ class Fitted:
     def class_metrics(self) -> DataFrame:
         return evaluate.class_metrics(self.predictions, self.label)
 
+    def scored(self) -> DataFrame:
+        """Label, prediction and class probabilities of the test part."""
+        return self.predictions.select(self.label, "prediction", "probability")
+
+    def confusion(self) -> DataFrame:
+        """The confusion matrix of the test part, over all classes seen."""
+        return confusion_matrix_all_labels(self.predictions, self.label, "prediction")
+
     def value_metrics(self) -> DataFrame:
         return evaluate.value_metrics(self.predictions, self.label)
 
@@ -68,6 +77,7 @@ def fit(
     no other columns. These two are held for the fit: an estimator goes over
     its input several times before it has its own binned or blocked copy.
     """
+    shared_dir(train.sparkSession)  # deep trees and boosting cut their lineage there
     names = list(features or feature_columns(train, label))
     stage = assembler(names, vector)
     rows = stage.transform(labelled(train, label).select(label, *names)).select(label, vector)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
@@ -86,7 +87,8 @@ def tune(
                 i, model = next(fits)
                 return i, _score(model.transform(validation), label, metric)
 
-            for i, value in pool.imap_unordered(one, range(len(grid))):
+            # the caller's job group and pool go with each thread
+            for i, value in pool.imap_unordered(inheritable_thread_target(one), range(len(grid))):
                 totals[i] += value
         scores = [t / len(parts) for t in totals]
         pick = min if metric in _LARGER_IS_WORSE else max

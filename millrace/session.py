@@ -1,7 +1,9 @@
-"""Helpers around the caller's session: shared storage, caching, spreading."""
+"""Helpers around the caller's session: shared storage, caching, layout."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,6 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir()
 
@@ -49,12 +52,10 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an iterative job at least one partition per core.
+def laid_out(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """Rows dealt by hash of their keys over a given number of partitions, sorted inside.
 
-    For frames read straight from files, before anything shuffles them. A large
-    table has far more splits than the cluster has cores and is returned as it
-    is.
+    For fits that draw samples or sum in row order: the same rows lie in the same
+    places whatever the files' splits and the number of cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(partitions, *keys).sortWithinPartitions(*df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from millrace.operators.encode import index_table
 from millrace.plans.features import fit_mixed_features
@@ -72,6 +72,10 @@ CONNECTION_COLUMNS = [
 ]
 
 
+# The columns that hold text.
+CONNECTION_TEXTS = ("protocol_type", "service", "flag", "label")
+
+
 def group_columns(groups: Mapping[str, int]) -> dict[str, list[str]]:
     """The 0/1 columns of each group: name_0, name_1, ..."""
     return {name: [f"{name}_{i}" for i in range(n)] for name, n in groups.items()}
@@ -92,15 +96,22 @@ def load_cover(
     label: str = COVER_LABEL,
     schema: StructType | str | None = None,
 ) -> DataFrame:
-    """A headerless table of measures and 0/1 groups; the label becomes a double."""
+    """A headerless table of measures and 0/1 groups; the label becomes a double.
+
+    Measures are read as doubles, all else as integers, in one pass, unless a
+    schema says otherwise.
+    """
     names = cover_columns(measures, groups, label)
+    schema = schema or StructType([StructField(n, DoubleType() if n in measures else IntegerType()) for n in names])
     df = scan_csv(spark, path, header=False, schema=schema, names=names)
     return df.withColumn(label, F.col(label).cast("double"))
 
 
-def load_binary_numeric(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def load_binary_numeric(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, sampling_ratio: float = 1.0
+) -> DataFrame:
     """A numeric table with a header, taken as it is."""
-    return scan_csv(spark, path, schema=schema)
+    return scan_csv(spark, path, schema=schema, sampling_ratio=sampling_ratio)
 
 
 def index_all(df: DataFrame) -> DataFrame:
@@ -108,8 +119,10 @@ def index_all(df: DataFrame) -> DataFrame:
     return index_table(df, df.columns).select(*[f"{c}_index" for c in df.columns])
 
 
-def load_categories(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    return index_all(scan_csv(spark, path, schema=schema))
+def load_categories(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, sampling_ratio: float = 1.0
+) -> DataFrame:
+    return index_all(scan_csv(spark, path, schema=schema, sampling_ratio=sampling_ratio))
 
 
 def load_mixed(
@@ -119,9 +132,10 @@ def load_mixed(
     drop: Sequence[str] = ("Id",),
     max_categories: int = 20,
     schema: StructType | str | None = None,
+    sampling_ratio: float = 1.0,
 ) -> DataFrame:
     """String and number columns as `features` and `indexedFeatures` next to the label."""
-    df = scan_csv(spark, path, schema=schema)
+    df = scan_csv(spark, path, schema=schema, sampling_ratio=sampling_ratio)
     return fit_mixed_features(df, label, drop, max_categories, invalid="skip").transform(df)
 
 
@@ -136,8 +150,9 @@ def load_targets(
     target: str = "target",
     drop: Sequence[str] = ("id",),
     schema: StructType | str | None = None,
+    sampling_ratio: float = 1.0,
 ) -> DataFrame:
-    return index_target(scan_csv(spark, path, schema=schema), target, drop)
+    return index_target(scan_csv(spark, path, schema=schema, sampling_ratio=sampling_ratio), target, drop)
 
 
 def load_connections(
@@ -146,5 +161,10 @@ def load_connections(
     names: Sequence[str] = CONNECTION_COLUMNS,
     schema: StructType | str | None = None,
 ) -> DataFrame:
-    """Headerless connection records; the caller holds them if they are read more than once."""
+    """Headerless connection records; the caller holds them if they are read more than once.
+
+    The three categories and the label are text, all else is read as doubles, in
+    one pass, unless a schema says otherwise.
+    """
+    schema = schema or StructType([StructField(n, StringType() if n in CONNECTION_TEXTS else DoubleType()) for n in names])
     return scan_csv(spark, path, header=False, schema=schema, names=names)

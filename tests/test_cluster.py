@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.operators import cluster as ops
-from millrace.operators.counts import cluster_label_counts, weighted_entropy
+from millrace.operators.counts import cluster_label_counts, largest_cluster_labels, weighted_entropy
 from millrace.plans.clustering import TIGHT, cluster, cost_sweep, entropy_sweep, k_means
 from millrace.plans.features import fit_connection_features, fit_scaled_features, numeric_features
 from millrace.plans.workflows import detect_anomalies
@@ -121,3 +121,22 @@ def test_detect_anomalies_on_mixed_records(mixed_net):
 def test_k_means_settings():
     stage = k_means(5, "v", **TIGHT)
     assert (stage.getK(), stage.getMaxIter(), stage.getTol(), stage.getInitSteps()) == (5, 40, 1e-5, 2)
+
+
+def test_odd_vectors_and_missing_centers(spark):
+    rows = [(1, [0.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [9.0, 9.0])]
+    df = spark.createDataFrame(rows, "id int, center array<double>")
+    centers = spark.createDataFrame([(0, [0.0, 1.0]), (1, [9.0, 8.0])], "cluster int, center array<double>")
+    got = {r.id: (r.cluster, r.dist) for r in ops.nearest_center(df, "center", centers).collect()}
+    assert got == {1: (0, 1.0), 2: (None, None), 3: (None, None), 4: (1, 1.0)}
+    with pytest.raises(ValueError, match="no centers"):
+        ops.nearest_center(df, "center", centers.limit(0))
+    own = df.withColumn("cluster", F.when(F.col("id") < 4, F.col("id") - 1))
+    far = {r.id: r.dist for r in ops.distance_to_center(own, centers, "center").collect()}
+    assert far[1] == 1.0 and far[2] is None and far[4] is None and len(far) == 4
+
+
+def test_largest_labels_of_each_cluster(spark):
+    df = spark.createDataFrame([(0, "a")] * 3 + [(0, "b")] * 5 + [(1, "a")] * 2, "cluster int, label string")
+    got = [tuple(r) for r in largest_cluster_labels(df, top=2).collect()]
+    assert got == [(0, "b", 5), (0, "a", 3)]

@@ -67,3 +67,12 @@ def test_value_metrics_equal_the_evaluator(spark):
         judge = RegressionEvaluator(labelCol="y", predictionCol="prediction", metricName=metric)
         assert got[metric] == pytest.approx(judge.evaluate(df), abs=1e-9)
     assert got["mse"] == pytest.approx(got["rmse"] ** 2)
+
+
+def test_missing_predictions_have_a_column(spark):
+    rows = [("a", "a"), ("a", None), ("b", "a"), ("b", None), ("b", None)]
+    df = spark.createDataFrame(rows, "label string, prediction string")
+    got = [tuple(r) for r in counts.confusion_matrix_all_labels(df, "label", "prediction").collect()]
+    assert got == [("a", 1, 0, 1), ("b", 1, 0, 2)]
+    full = counts.confusion_matrix_all_labels(df.na.drop(), "label", "prediction")
+    assert full.columns == ["label", "pred_a", "pred_b"]

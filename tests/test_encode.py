@@ -117,3 +117,40 @@ def test_total_before_is_a_running_sum(spark):
     for i in reversed(range(200)):
         assert got[i] == total
         total += i % 4 + 1
+
+
+@pytest.mark.parametrize("invalid", ["skip", "keep", "error"])
+def test_wide_index_with_clashing_names(spark, invalid):
+    rows = [("a", "r1", "c1", 1)] * 5 + [("b", "r2", "c1", 2)] * 3 + [("c", "r2", "c2", 3)]
+    if invalid != "error":
+        rows += [(None, "r1", "c1", 4)]
+    df = spark.createDataFrame(rows, "value string, rank string, center string, _code_hot int")
+    columns = ["value", "rank", "center"]
+    few = encode.index_table(df, columns, invalid=invalid)
+    wide = encode.index_table(df, columns, invalid=invalid, max_labels=0)
+    assert wide.columns == few.columns
+    assert sorted(map(str, wide.collect())) == sorted(map(str, few.collect()))
+
+
+def test_wide_index_reads_the_rows_once(spark, tmp_path):
+    df = spark.range(50).select(*[(F.col("id") % n).cast("string").alias(f"c{n}") for n in (3, 5, 7, 11)])
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+
+    def leaves(n):
+        out = encode.index_table(df, df.columns[:n], max_labels=0)
+        return out._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+
+    assert leaves(1) == leaves(2) == leaves(4)
+
+
+def test_wide_index_stops_at_nulls(spark):
+    df = spark.createDataFrame([("a",), (None,)], "value string")
+    with pytest.raises(Exception, match="null category"):
+        encode.index_table(df, ["value"], invalid="error", max_labels=0).collect()
+
+
+def test_labels_of_all_columns_share_one_bound(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("x"), (F.col("id") + 1).cast("string").alias("y"))
+    with pytest.raises(encode.TooManyCategories):
+        encode.fit_indexer(df, ["x", "y"], max_labels=40)

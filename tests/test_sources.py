@@ -1,8 +1,9 @@
+from pyspark.sql import functions as F
 import pytest
 
 from millrace.operators.inspect import schema_report
 from millrace.operators.rank import preview
-from millrace.session import cut_lineage, held, shared_dir, shared_path, spread
+from millrace.session import cut_lineage, held, laid_out, shared_dir, shared_path
 from millrace.sources import (
     CONNECTION_COLUMNS,
     cover_columns,
@@ -86,7 +87,12 @@ def test_session_helpers(spark):
         assert kept.is_cached
         raise RuntimeError
     assert not df.is_cached
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(10, numPartitions=cores + 1)
-    assert spread(wide) is wide
+
+
+def test_layout_does_not_follow_the_splits(spark):
+    rows = spark.range(500).withColumn("x", F.col("id") % 7)
+    layouts = [
+        laid_out(df, 6, "id").select("id", F.spark_partition_id().alias("p")).collect()
+        for df in (rows.coalesce(1), rows.repartition(9), rows.repartition(4, "x"))
+    ]
+    assert layouts[0] == layouts[1] == layouts[2] and {r.p for r in layouts[0]} == set(range(6))
