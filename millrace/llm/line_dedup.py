@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.llm.store import written
 from millrace.session import BROADCAST_BYTES
 
+# A line's prefix by hash is longer by its size over this.
+_MORE = 20
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -135,11 +137,13 @@ def find_repeated_lines(docs: DataFrame, *, words: int = 5, percent: int = 75) -
     if few:  # copies need not be looked at again; else they go once the rows are small
         fresh = fresh.join(F.broadcast(gone), here, "left_anti")
     fresh = fresh.select("doc_id", "place", F.sort_array(_tokens(F.col("w"), words)).alias("t")).withColumn("n", F.size("t"))
-    prefix = F.slice("t", 1, F.expr(f"n - ({percent} * n + 99) DIV 100 + 1"))
-    met = fresh.select("doc_id", "place", F.explode(prefix).alias("token"))
+    # of l tokens more, l must meet: of a match at least as many as the shorter line has, which is 0.75 of this one or more
+    prefix = F.slice("t", 1, F.expr(f"n - ({percent} * n + 99) DIV 100 + 1 + n DIV {_MORE}"))
+    met = fresh.select("doc_id", "place", "n", F.explode(prefix).alias("token"))
     # one narrow row per token: ids only, sorted and counted where they meet
-    met = met.withColumn("held", F.count("*").over(Window.partitionBy("token")))
-    meeting = met.filter("held > 1").select("doc_id", "place").distinct()
+    met = met.withColumn("held", F.count("*").over(Window.partitionBy("token"))).filter("held > 1")
+    meeting = met.groupBy("doc_id", "place", "n").agg(F.count("*").alias("met"))
+    meeting = meeting.filter(f"met >= 1 + ({percent} * n DIV 100) DIV {_MORE}").select("doc_id", "place")
     if not few:
         meeting = meeting.join(gone, here, "left_anti")
     meeting = written(meeting.select(F.col("doc_id").alias("need"), F.col("place").alias("at")), "lines-meeting")
