@@ -44,7 +44,7 @@ _WRITTEN_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@":
 _ENDS = ".!?"
 
 # Bounds of the fit; scoring has none.
-MAX_ROWS = 1500
+MAX_ROWS = 1200
 MAX_CHARS = 100_000
 LANDMARKS = 192
 
@@ -144,7 +144,7 @@ def _folded(text: str) -> bytes:
     return _FOLD[np.minimum(points, 0x10FFFF)].tobytes()
 
 
-def _grams(texts: list[str]) -> Counter:
+def _grams(texts: list[str], only: set[bytes] | None = None) -> Counter:
     """In how many of the texts are strings of five or six letters within words, and short words."""
     total: Counter = Counter()
     for text in texts:
@@ -154,7 +154,7 @@ def _grams(texts: list[str]) -> Counter:
                 seen.update(word[i : i + size] for i in range(len(word) - size + 1))
             if _P <= len(word) <= 16:
                 seen.add(word)
-        total.update(seen)
+        total.update(seen if only is None else seen & only)
     return total
 
 
@@ -175,10 +175,12 @@ def _landmarks(bad: list[str], good: list[str], count: int) -> tuple[list[bytes]
     label are told from each other.
     """
     k = min(len(bad), len(good) // 2)
-    one, other = _grams(good[:k]), _grams(good[k:])
+    # strings in one text alone tell nothing: they are let go before the next lot is counted
+    df = Counter({g: n for g, n in _grams(bad).items() if n > 1})
+    one = Counter({g: n for g, n in _grams(good[:k]).items() if n > 1 or g in df})
+    other = _grams(good[k:], df.keys() | one.keys())
     bar = max(_gains(one, k, other, len(good) - k).values(), default=0.0)
     one.update(other)
-    df = _grams(bad)
     gains = _gains(df, len(bad), one, len(good))
     telling: list[bytes] = []
     for gram in sorted(gains, key=lambda g: (-round(gains[g], 6), -len(g), g)):
