@@ -5,7 +5,7 @@ their sets' Jaccard similarity reaches the threshold. Under any total order of
 all tokens two linked sets share a token among the first n - ceil(t n) + 1 of
 each. Three orders are used and their filters intersected: by rarity, by a hash
 ascending and by the same hash descending. Rarity comes from one table of counts
-over all texts, of fixed size; a count there is never too low.
+over all texts, of fixed size, in which a task counts to 65,535 at most.
 
 Postings of the rarity prefix meet by token. A token's rows are joined with one
 hub of its list, which links a group of near copies by a star instead of all
