@@ -3,8 +3,7 @@
 A text is cut into short paragraphs: at newlines and sentence ends, and after
 sixty characters at the next word's end. A paragraph hashes to a wide vector of
 two parts: four lanes of 31 bits, and 128 lanes of one bit. A fingerprint is the
-sum of its paragraphs' vectors, the wide lanes modulo 2^31 and the others modulo
-2^16, and their number. So the order of paragraphs does not matter, and
+sum of its paragraphs' vectors, all lanes modulo 2^31, and their number. So the order of paragraphs does not matter, and
 paragraphs go in and out by adding and subtracting their vectors.
 
 The one-bit lanes, read as plus or minus one, sum to random projections of the
@@ -22,7 +21,7 @@ from millrace.llm.store import written
 
 WIDE, LANES = 4, 128
 _PIECE = r"[^.!?|\n]{1,60}(?:[.!?|\n]+\s*|\S*\s*)|[.!?|\n]+\s*"
-_LOW31, _LOW16 = (1 << 31) - 1, (1 << 16) - 1
+_LOW31 = (1 << 31) - 1
 # Two one-bit lanes are summed in one number: the second 31 bits up.
 _TWO = 1 | (1 << 31)
 
@@ -58,7 +57,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text_column: str = "text") -
     sums = hashed.groupBy(*keys).agg(F.sum("one").alias("units"), *_vector_sums())
     lanes = []
     for k in range(LANES // 2):
-        lanes += [F.col(f"p{k}").bitwiseAND(F.lit(_LOW16)), F.shiftright(f"p{k}", 31).bitwiseAND(F.lit(_LOW16))]
+        lanes += [F.col(f"p{k}").bitwiseAND(F.lit(_LOW31)), F.shiftright(f"p{k}", 31).bitwiseAND(F.lit(_LOW31))]
     return sums.select(
         *keys, "units",
         F.array(*[F.col(f"a{k}").bitwiseAND(F.lit(_LOW31)) for k in range(WIDE)]).alias("wide"),
@@ -74,13 +73,13 @@ def combined(x: str, y: str, sign: int = 1) -> list[Column]:
             F.col(f"{x}.{name}"), F.col(f"{y}.{name}"), lambda a, b: (a.cast("long") + sign * b.cast("long")).bitwiseAND(F.lit(mask)).cast(kind)
         ).alias(name)
 
-    return [(F.col(f"{x}.units") + sign * F.col(f"{y}.units")).alias("units"), join("wide", _LOW31, "long"), join("lanes", _LOW16, "int")]
+    return [(F.col(f"{x}.units") + sign * F.col(f"{y}.units")).alias("units"), join("wide", _LOW31, "long"), join("lanes", _LOW31, "int")]
 
 
 def as_text(wide: str | Column, lanes: str | Column, units: str | Column) -> Column:
     """A fingerprint as hexadecimal text."""
     head = F.transform(F.col(wide) if isinstance(wide, str) else wide, lambda x: F.lpad(F.hex(x), 8, "0"))
-    tail = F.transform(F.col(lanes) if isinstance(lanes, str) else lanes, lambda x: F.lpad(F.hex(x), 4, "0"))
+    tail = F.transform(F.col(lanes) if isinstance(lanes, str) else lanes, lambda x: F.lpad(F.hex(x), 8, "0"))
     return F.concat(F.array_join(head, ""), F.lpad(F.hex(units), 8, "0"), F.array_join(tail, ""))
 
 

@@ -209,6 +209,15 @@ def test_fingerprints_add_and_subtract(spark):
     assert rows.select(likeness("xy", "xy").alias("l")).first().l == 1.0
 
 
+def test_likeness_of_texts_with_very_many_paragraphs(spark):
+    texts = [(k, "\n".join(f"{k}{i}" for i in range(150_000))) for k in "xy"]
+    texts.append(("z", texts[0][1][: len(texts[0][1]) // 2] + texts[1][1][: len(texts[1][1]) // 2]))
+    made = {r.k: (r.units, r.wide, r.lanes) for r in fingerprints(spark.createDataFrame(texts, "k string, text string"), ["k"]).collect()}
+    rows = spark.createDataFrame([tuple(made[k] for k in "xyz")], ", ".join(f"{n} struct<units:long,wide:array<long>,lanes:array<int>>" for n in "xyz"))
+    xy, xz = rows.select(likeness("x", "y"), likeness("x", "z")).first()
+    assert xy < 0.4 and abs(xz - 0.5) < 0.3
+
+
 def test_paragraph_order_does_not_matter(spark):
     texts = [("a", "Alpha beta.\nGamma delta.\n"), ("b", "Gamma delta.\nAlpha beta.\n"), ("c", "Gamma delta.\nAlpha.\n")]
     made = {r.k: (r.units, r.wide, r.lanes) for r in fingerprints(spark.createDataFrame(texts, "k string, text string"), ["k"]).collect()}
