@@ -1,8 +1,9 @@
 """Licence recognition from known sentences and ordered rules.
 
-A text is cut into sentences, at newlines and after a full stop, exclamation or
-question mark before white space. A normalised sentence that is a known licence
-sentence has an identifier. A text's identifiers in order form a sequence, and
+A text is cut at newlines and after a full stop, exclamation or question mark
+before white space. A normalised piece, or a run of neighbouring pieces, that is
+a known licence sentence has an identifier; so hard-wrapped sentences are found.
+A run does not go over a blank line, comment signs apart. A text's identifiers in order form a sequence, and
 the rules are tried on it one after another: each is a run of identifiers that
 must stand next to each other, and where it matches it names a licence and uses
 up that run, so that a later, weaker rule does not see it again.
@@ -92,12 +93,15 @@ RULES = [
     ("reserved", "All-Rights-Reserved"),
 ]
 
-SENTENCE_CUT = r"\n+|(?<=[.!?])[ \t\r]+"
+_SENTENCE_END = r"(?<=[.!?])[ \t\r]+\n?"
+# Whole pieces only, longest sentence first; a cut may take the place of a blank.
+_KNOWN = r"(?<![^\n])(?:" + "|".join(s.replace(" ", r"[ \n]") for s in sorted(SENTENCES, key=len, reverse=True)) + r")(?![^\n])"
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, with every run of other characters than letters and digits a blank."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def normalised(text: Column) -> Column:
+    """Lower case, every run of other characters than letters and digits a blank, and every cut a newline."""
+    words = F.regexp_replace(F.lower(F.regexp_replace(text, _SENTENCE_END, "\n")), r"[^a-z0-9\n]+", " ")
+    return F.trim(F.replace(F.replace(words, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
 
 
 def scan_licenses(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -110,11 +114,8 @@ def scan_licenses(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
     row; a null id is kept. Other columns are not read.
     """
     known = F.map_from_arrays(F.array(*[F.lit(s) for s in SENTENCES]), F.array(*[F.lit(i) for i in SENTENCES.values()]))
-    longest = max(map(len, SENTENCES))
-    # a sentence far longer than any known one is none, which spares normalising it
-    cut = F.filter(F.split(F.coalesce(F.col(text_column), F.lit("")), SENTENCE_CUT), lambda s: F.length(s).between(1, 3 * longest))
-    may = F.filter(cut, lambda s: s.rlike("(?i)licen|rights|permi|redistrib|neither|public|copyright|software"))
-    found = F.filter(F.transform(may, lambda s: F.try_element_at(known, normalised(s))), lambda i: i.isNotNull())
+    whole = F.regexp_extract_all(normalised(F.coalesce(F.col(text_column), F.lit(""))), F.lit(_KNOWN), F.lit(0))
+    found = F.transform(whole, lambda s: F.element_at(known, F.replace(s, F.lit("\n"), F.lit(" "))))
     rows = docs.select(F.col(id_column).alias("id"), found.alias("found"))
     rows = rows.select("id", F.size("found").cast("long").alias("n_sentences"), F.array_join("found", " ").alias("identifiers"))
     rows = rows.select("*", F.concat(F.lit(" "), F.regexp_replace("identifiers", " ", "  "), F.lit(" ")).alias("left"), F.array().cast("array<string>").alias("names"))

@@ -243,6 +243,43 @@ def test_license_rules_match_runs_in_order(spark):
     assert by[6] == ("mit-name mit-name", "MIT", 2) and by[None][1] == "Apache-2.0"
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Copyright (c) 2020, Someone. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_licenses_are_found(spark):
+    framed = "/" + "*" * 700 + "\r\n" + "".join(f" * {line:<900}*\r\n" for line in MIT.split("\n")) + " */"
+    apart = MIT[: MIT.index("The above")].replace("in the Software", "\n\nin the Software")
+    texts = [MIT, BSD, MPL, framed, MPL.replace("v. 2.0", "v. \n// 2.0"), "Old. " + MIT.replace("\n", " \n"), apart]
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    by = {r.doc_id: (r.licenses, r.n_sentences) for r in rows}
+    assert by[0] == by[3] == by[5] == ("MIT", 2)
+    assert by[1] == ("BSD-2-Clause", 4)
+    assert by[2] == by[4] == ("MPL-2.0", 1)
+    assert by[6] == ("", 0)
+
+
 def test_every_known_sentence_is_looked_up(spark):
     docs = spark.createDataFrame([(i, s.capitalize() + ".") for i, s in enumerate(licenses.SENTENCES)], "doc_id long, text string")
     assert {r.n_sentences for r in licenses.scan_licenses(docs).collect()} == {1}
