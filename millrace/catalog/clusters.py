@@ -171,38 +171,38 @@ def kmeans_centers(spark, sf_dir):
 @query("kmeans_cost_default")
 def kmeans_cost_default(spark, sf_dir):
     lines = line_rows(spark, sf_dir, *_NUMBERS)
-    return cost_sweep(lines, numeric_features(lines, ""), [10])
+    return cost_sweep(lines, numeric_features(lines, ""))
 
 
 @query("kmeans_cost_tight")
 def kmeans_cost_tight(spark, sf_dir):
     lines = line_rows(spark, sf_dir, *_NUMBERS)
-    return cost_sweep(lines, numeric_features(lines, ""), [20], **TIGHT)
+    return cost_sweep(lines, numeric_features(lines, ""), **TIGHT)
 
 
 @query("kmeans_cost_scaled")
 def kmeans_cost_scaled(spark, sf_dir):
     with held(line_rows(spark, sf_dir, *_NUMBERS)) as lines:
-        return cost_sweep(lines, fit_scaled_features(lines, ""), [20], "scaledFeatures", **TIGHT)
+        return cost_sweep(lines, fit_scaled_features(lines, ""), vector="scaledFeatures", **TIGHT)
 
 
 @query("kmeans_cost_onehot")
 def kmeans_cost_onehot(spark, sf_dir):
     with held(line_rows(spark, sf_dir, *_NUMBERS, *_TEXTS)) as lines:
-        return cost_sweep(lines, fit_connection_features(lines, "", _TEXTS), [20], "scaledFeatures", **TIGHT)
+        return cost_sweep(lines, fit_connection_features(lines, "", _TEXTS), vector="scaledFeatures", **TIGHT)
 
 
 @query("kmeans_k_sweep")
 def kmeans_k_sweep(spark, sf_dir):
     with held(line_rows(spark, sf_dir, *_NUMBERS)) as lines:
-        return cost_sweep(lines, fit_scaled_features(lines, ""), [5, 10, 20], "scaledFeatures", **TIGHT)
+        return cost_sweep(lines, fit_scaled_features(lines, ""), vector="scaledFeatures", **TIGHT)
 
 
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(spark, sf_dir):
     with held(line_rows(spark, sf_dir, *_NUMBERS, *_TEXTS, "l_linenumber")) as lines:
         features = fit_connection_features(lines, "l_linenumber", _TEXTS)
-        return entropy_sweep(lines, features, "l_linenumber", [5, 10, 20], **TIGHT)
+        return entropy_sweep(lines, features, "l_linenumber", **TIGHT)
 
 
 # Two strings have a few combinations and as many distinct points. With a
@@ -276,5 +276,5 @@ def anomalies_two_groups(spark, sf_dir):
 @query("anomalies")
 def anomalies(spark, sf_dir):
     lines = line_rows(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")
-    _, found = detect_anomalies(lines, "l_linenumber", _TEXTS, drop=["l_orderkey"], k=20)
+    _, found = detect_anomalies(lines, "l_linenumber", _TEXTS, drop=["l_orderkey"])
     return found

@@ -122,9 +122,6 @@ def train_test_accuracy(spark, sf_dir):
 
 
 # A gain of 0.05 is never reached here, so that half of the grid predicts the majority class.
-_TREE_GRID = {"impurity": ["gini", "entropy"], "maxDepth": [20], "maxBins": [40], "minInfoGain": [0.0, 0.05]}
-
-
 @query(
     "decision_tree_tuned",
     f"""
@@ -146,7 +143,7 @@ both_parts AS (
 )
 def decision_tree_tuned(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _FLAG_COLUMNS)
-    fitted, _ = trees.tuned_decision_tree(train, test, "label", LINE, grid=_TREE_GRID)
+    fitted, _ = trees.tuned_decision_tree(train, test, "label", LINE)
     return rounded(fitted.train_test_accuracy(), "accuracy")
 
 
@@ -161,22 +158,19 @@ def decision_tree_categorical(spark, sf_dir):
     lines = {f"line_{i}": f"CAST(l_linenumber = {i + 1} AS INT)" for i in range(7)}
     rest = {"is_open": BINARY["is_open"], "qty_high": BINARY["qty_high"]}
     train, test = _split(spark, sf_dir, _KEYS | _FLAG | lines | rest)
-    fitted, _ = trees.tuned_categorical_tree(
-        train, test, "label", LINE, {"line": list(lines)},
-        grid={"impurity": ["gini", "entropy"], "maxDepth": [20], "maxBins": [40], "minInfoGain": [0.0]},
-    )
+    fitted, _ = trees.tuned_categorical_tree(train, test, "label", LINE, {"line": list(lines)})
     return rounded(fitted.class_metrics(), "value")
 
 
 @query("random_forest_classifier")
 def random_forest_classifier(spark, sf_dir):
     train, test = _split(spark, sf_dir, _FLAG | _same(*_NUMBERS))
-    fitted = trees.random_forest_classifier(train, test, "label", numTrees=20, maxDepth=12)
+    fitted = trees.random_forest_classifier(train, test, "label")
     return rounded(fitted.class_metrics(), "value")
 
 
 # Without row and column sampling every tree of a forest is the same full tree.
-_PLAIN = {"numTrees": 5, "bootstrap": False, "featureSubsetStrategy": "all"}
+_PLAIN = {"bootstrap": False, "featureSubsetStrategy": "all"}
 
 
 @query("random_forest_classifier_unsampled", class_metrics_sql(_cells_sql(FLAG_CODE, BINARY)))
@@ -193,7 +187,7 @@ _MIXED_COLUMNS = _same(
 @query("random_forest_regressor")
 def random_forest_regressor(spark, sf_dir):
     train, test = _split(spark, sf_dir, _MIXED_COLUMNS)
-    fitted = trees.random_forest_regressor(train, test, "l_extendedprice", numTrees=20, maxDepth=10)
+    fitted = trees.random_forest_regressor(train, test, "l_extendedprice")
     return rounded(fitted.value_metrics(), "value", places=2)
 
 
@@ -303,18 +297,14 @@ def gbt_regressor(spark, sf_dir):
 @query("gbt_tuned_tvs", class_metrics_sql(_cells_sql(BINARY["price_high"], _SIGNS)))
 def gbt_tuned_tvs(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _PRICE_COLUMNS)
-    fitted, _ = boosting.tuned_gbt_holdout(
-        train, test, "label", LINE, grid={"maxIter": [2, 4], "maxBins": [10], "maxDepth": [10, 20]}
-    )
+    fitted, _ = boosting.tuned_gbt_holdout(train, test, "label", LINE)
     return rounded(fitted.class_metrics(), "value")
 
 
 @query("gbt_tuned_cv", class_metrics_sql(_cells_sql(BINARY["price_high"], _SIGNS)))
 def gbt_tuned_cv(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _PRICE_COLUMNS)
-    fitted, _ = boosting.tuned_gbt_folds(
-        train, test, "label", LINE, grid={"maxIter": [2, 3], "maxBins": [5], "maxDepth": [10]}
-    )
+    fitted, _ = boosting.tuned_gbt_folds(train, test, "label", LINE)
     return rounded(fitted.class_metrics(), "value")
 
 
@@ -353,21 +343,17 @@ def score_with_saved_model(spark, sf_dir):
     return count_by(regression.score_saved(path, rows), "prediction")
 
 
-_LOGISTIC_GRID = {"maxIter": [10], "regParam": [0.01, 0.1], "elasticNetParam": [0.05, 0.5], "fitIntercept": [True]}
-
-
 @query("logistic_tuned_tvs", _SIGN_PREDICTION)
 def logistic_tuned_tvs(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _BULK_COLUMNS)
-    fitted, _ = regression.tuned_logistic_holdout(train, test, "label", LINE, grid=_LOGISTIC_GRID)
+    fitted, _ = regression.tuned_logistic_holdout(train, test, "label", LINE)
     return rounded(fitted.class_metrics(), "value")
 
 
 @query("logistic_tuned_cv", _SIGN_PREDICTION)
 def logistic_tuned_cv(spark, sf_dir):
     train, test = _split(spark, sf_dir, _KEYS | _BULK_COLUMNS)
-    grid = _LOGISTIC_GRID | {"regParam": [0.1]}
-    fitted, _ = regression.tuned_logistic_folds(train, test, "label", LINE, grid=grid)
+    fitted, _ = regression.tuned_logistic_folds(train, test, "label", LINE)
     return rounded(fitted.class_metrics(), "value")
 
 
@@ -424,7 +410,7 @@ def one_vs_rest(spark, sf_dir):
     vector = array_to_vector(as_doubles("embedding")).alias("vector")
     vectors = laid_out(table(spark, sf_dir, "embeddings").select("vec_id", "label", vector), LAYOUT, "vec_id")
     train, test = hash_split(vectors, ["vec_id"])
-    fitted = regression.one_vs_rest(train, test, "label", ["vector"], maxIter=10)
+    fitted = regression.one_vs_rest(train, test, "label", ["vector"])
     return rounded(fitted.class_metrics(), "value")
 
 
