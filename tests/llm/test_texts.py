@@ -144,6 +144,27 @@ def test_html_marks_settle_lines():
     assert html_text.page_lines("<p" + " x='" * 3000)  # unclosed quotes end in reasonable time
 
 
+def test_html_names_around_the_article_do_not_empty_the_page():
+    def text(page):
+        return " ".join(t for t, z in html_text.page_lines(page) if z != html_text.DROP)
+
+    for start, end in (
+        ("<div class='layout has-sidebar'><article>", "</article></div>"), ("<main class='with-nav'>", "</main>"), ("<main class='search'>", "</main>"),
+        ("<div id='search-page'><article>", "</article></div>"), ("<form class='search'><article>", "</article></form>"),
+    ):
+        assert text(f"<nav>Menu</nav>{start}<p>The story</p><div class='ad-slot'>Buy</div>{end}<footer>f</footer>") == "The story"
+    assert text("<div>The story</div><div class='comments'><article>Troll</article></div>") == "The story"
+    assert text("<article>The story</article><div class='comments'><article>Troll</article></div>") == "The story"
+
+
+def test_html_raw_elements_end():
+    for raw in ("<noscript><img>", "<svg><path>", "<object>", "<math><mi>x</mi>"):
+        lines = html_text.page_lines(f"<article><p>One</p>{raw}<p>Two</p></article>")
+        assert [t for t, z in lines if z == html_text.TEXT and t != "x"] == ["One", "Two"]
+    assert html_text.page_lines("<article>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</article>") == [("so x=2 holds", html_text.TEXT)]
+    assert html_text.page_lines("<svg>" * 30_000) == []
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rng = random.Random(6)
     for _ in range(1500):
