@@ -18,8 +18,10 @@ put together from those.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -95,17 +97,33 @@ def word_starts(points: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts under a tokenizer file, and one id at every text's end."""
+    """Ids of texts under a tokenizer file, and one id at every text's end, if one is given.
 
-    def __init__(self, path: str, end_id: int):
+    The strings of added tokens in a text become those tokens, as the library
+    does it unless told otherwise; `plain` takes them as ordinary text.
+    """
+
+    def __init__(self, path: str, end_id: int | None, *, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("added tokens that take in what is around them are not supported")
+        texts = sorted((t.content for t in added), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, texts))) if texts else None
         self.end_id = end_id
         self._forget()
 
+    def _added_spans(self, text: str, head: np.ndarray) -> np.ndarray:
+        """Start and end of every added token in the texts that begin at `head`; none lies over two texts."""
+        if self.added is None or not self.added.search(text):
+            return np.zeros((0, 2), np.int64)
+        spans = [m.span() for a, b in zip(head[:-1].tolist(), head[1:].tolist(), strict=True) for m in self.added.finditer(text, a, b)]
+        return np.array(spans, np.int64).reshape(-1, 2)
+
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)  # sorted word hashes
         self.start = np.zeros(0, np.int64)
@@ -130,7 +148,11 @@ class Encoder:
         text = data.tobytes().decode("utf-8", "replace")
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         head = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-        starts = word_starts(points, head)
+        spans = self._added_spans(text, head)
+        starts = word_starts(points, np.sort(np.concatenate([head, spans.ravel()])))
+        if len(spans):  # an added token is one word
+            of = np.searchsorted(spans[:, 0], starts, side="left") - 1
+            starts = starts[(of < 0) | (starts >= spans[np.maximum(of, 0), 1])]
         ends = np.append(starts[1:], len(points))
         total = np.zeros(len(points) + 1, np.uint64)
         power = kernels._power_table(kernels._R, len(points) + 1, "up")
@@ -149,11 +171,12 @@ class Encoder:
         slot = np.searchsorted(self.known, unique)[which]
         count = self.count[slot]
         # one more entry per text for its last id
+        closed = int(self.end_id is not None)
         word_first = np.searchsorted(starts, head)
-        before = np.concatenate([[0], np.cumsum(count)])
-        first = before[word_first] + np.arange(n + 1)
-        out = np.full(before[-1] + n, self.end_id, np.uint32)
-        owner = np.repeat(np.arange(n), np.diff(word_first))
+        before = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+        first = before[word_first] + closed * np.arange(n + 1)
+        out = np.full(before[-1] + closed * n, self.end_id or 0, np.uint32)
+        owner = closed * np.repeat(np.arange(n), np.diff(word_first))
         target = np.repeat(before[:-1] + owner, count) + np.arange(before[-1]) - np.repeat(before[:-1], count)
         source = np.repeat(self.start[slot], count) + np.arange(before[-1]) - np.repeat(before[:-1], count)
         out[target] = self.ids[source]
@@ -269,7 +292,7 @@ def pack_documents(
                             emit(full)
                 if len(out) > 20_000:
                     yield flush()
-        rest = packer.rest()
+        rest = deque(packer.rest())
         left = sum(len(p[2]) for p in rest)
         while left:
             take = window if left >= window else 1 << (left.bit_length() - 1)
@@ -280,7 +303,7 @@ def pack_documents(
                 pieces.append([doc, start, part, total])
                 have += len(part)
                 if len(part) == len(ids):
-                    rest.pop(0)
+                    rest.popleft()
                 else:
                     rest[0] = [doc, start + len(part), ids[len(part) :], total]
             emit(pieces)

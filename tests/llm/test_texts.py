@@ -31,13 +31,19 @@ def _encoded(encoder, texts):
     return out
 
 
-def test_packing_encodes_as_the_tokenizer_does():
+@pytest.mark.parametrize("plain", [False, True])
+def test_packing_encodes_as_the_tokenizer_does(plain):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(tokenizer_path(TOKENIZER))
-    own.encode_special_tokens = True
-    texts = _odd_texts(4000) + ["", "it's", "''s", " 's", "\n's", "'s's x", "you'll we'rex", "<|endoftext|> x", "x" * 50_000]
-    got = _encoded(packing.Encoder(tokenizer_path(TOKENIZER), 0), texts)
+    if plain:
+        own.encode_special_tokens = True
+    mark = "<|endoftext|>"
+    texts = _odd_texts(4000) + ["", "it's", "''s", " 's", "\n's", "'s's x", "you'll we'rex", f"{mark} x", "x" * 50_000]
+    texts += [f"one {mark} two", mark, mark * 3, f"a'{mark}s  {mark}\n", f"{mark}'s", "it's <|endof", f"text|> it's{mark}", f"  {mark}  <|end"]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice([mark, " ", "a", "'s", "\n", "|>", "<|", "endoftext"]) for _ in range(12)) for _ in range(500)]
+    got = _encoded(packing.Encoder(tokenizer_path(TOKENIZER), 0, plain=plain), texts)
     assert got == [e.ids + [0] for e in own.encode_batch(texts, add_special_tokens=False)]
 
 
