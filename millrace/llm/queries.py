@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import exact_dedup, packing, pieces, quality, toxicity
+from millrace.llm import exact_dedup, packing, pieces, quality, token_files, toxicity
 from millrace.llm.fingerprint import fingerprint_with_edits
 from millrace.llm.html_text import extract_text
 from millrace.llm.labelled import remainder
@@ -186,3 +186,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_from_labels(docs, table(spark, sf_dir, "labels"), skip=remainder(F.col("of"), 4) == 2)
     return _scored(quality.score(docs, model), remainder(F.col("doc_id"), 4) == 2, 0.7)
+
+
+@query("op13_token_files")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path(TOKENIZER), end_id=2)
+    return token_files.read_token_files(files)

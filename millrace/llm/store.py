@@ -12,14 +12,20 @@ from millrace.session import shared_path
 _made: list[tuple[SparkSession, str]] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows once as Parquet and go on from the files, which outlive lost executors."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder, taken away when the driver ends."""
     path = shared_path(spark, name)
-    df.write.parquet(path)
     if not _made:
         atexit.register(_remove)
     _made.append((spark, path))
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows once as Parquet and go on from the files, which outlive lost executors."""
+    spark = df.sparkSession
+    path = folder(spark, name)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
