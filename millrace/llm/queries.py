@@ -11,6 +11,7 @@ from millrace.llm.labelled import remainder
 from millrace.llm.licenses import RULES, SENTENCES, scan_licenses
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
+from millrace.llm.spelling import spelling_variants
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -192,3 +193,53 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path(TOKENIZER), end_id=2)
     return token_files.read_token_files(files)
+
+
+_SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))
+),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents
+),
+each AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+      lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM each, crc
+),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7
+),
+cut AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+),
+near AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.rest
+),
+ranked AS (
+  SELECT near.word, near, b.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY b.n DESC, near) AS k
+  FROM near JOIN words b ON b.word = near
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND k = 1
+),
+chain(word, root, further) AS (
+  SELECT word, word, form FROM forms UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.further
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.further IS NULL
+"""
+
+
+@query("op12_spelling_variants", _SPELLING_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
