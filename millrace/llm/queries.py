@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import exact_dedup, packing, pieces, quality, token_files, toxicity
+from millrace.llm.alignment import align_tokenizers
 from millrace.llm.fingerprint import fingerprint_with_edits
 from millrace.llm.html_text import extract_text
 from millrace.llm.labelled import remainder
@@ -243,3 +244,8 @@ SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c
 @query("op12_spelling_variants", _SPELLING_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), a=tokenizer_path(TOKENIZER), b=tokenizer_path("piece_bpe_32k.model"))
