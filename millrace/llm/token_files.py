@@ -320,7 +320,8 @@ def read_token_files(files: DataFrame, *, with_ids: bool = False) -> DataFrame:
                         at += n
 
     extra = ", ids array<int>" if with_ids else ""
-    spread = files.select("path", "start").repartition(F.col("path"))
+    # rows of files are few bytes and much work: their number sets the tasks, not their size
+    spread = files.select("path", "start").repartition(max(1, files.count()), "path")
     return spread.mapInArrow(run, f"doc_id long, start long, n_tokens long, ids_crc32 long{extra}")
 
 
