@@ -13,6 +13,10 @@ node of its own first half, which it reaches without an edit: an edit in the
 second half of a word is found in the first trie, one in the first half in the
 other. Where the edit is possible, nodes have few children.
 
+An edge also carries a signature of all that follows it, some bits set by the
+hashes of the rests of the words below. A state with an edit whose own rest has
+left no bit there can never end on a word, and goes at once.
+
 Nodes are numbered by hash; a collision can only add a state, and neighbours are
 compared as texts at the end.
 
@@ -48,7 +52,7 @@ def count_words(
     """
     lower = F.translate(F.col(text_column), _UPPER, _UPPER.lower())
     # a run that is too short before a code point goes is too short after it
-    runs = F.regexp_extract_all(lower, F.lit(f"([a-zÀ-ÿ]{{{shortest},}})"), F.lit(1))
+    runs = F.regexp_extract_all(lower, F.lit(f"[a-zÀ-ÿ]{{{shortest},}}+"), F.lit(0))
     words = docs.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("id"), F.explode(runs).alias("run"))
     word = F.col("run")
     if drop_every:
@@ -84,8 +88,34 @@ def _both_sides(words: DataFrame) -> DataFrame:
     return words.select(F.explode(sides).alias("s")).select("s.*")
 
 
+# Bits of the mark a text leaves in the signature of a node, in so many longs.
+_SIGNATURE = 2
+
+
+def _mark(rest: Column) -> list[Column]:
+    """The signature of one text: a bit of one of the longs."""
+    h = F.xxhash64(rest)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    of = F.pmod(F.shiftright(h, 6), F.lit(_SIGNATURE))
+    return [F.when(of == k, bit).otherwise(F.lit(0).cast("long")) for k in range(_SIGNATURE)]
+
+
+def _may_follow(rest: Column) -> Column:
+    """Whether the signature (s0, s1, ...) of what follows a node holds the text's mark."""
+    h = F.xxhash64(rest)
+    of = F.pmod(F.shiftright(h, 6), F.lit(_SIGNATURE))
+    signature = F.col("s0")
+    for k in range(1, _SIGNATURE):
+        signature = F.when(of == k, F.col(f"s{k}")).otherwise(signature)
+    return F.call_function("getbit", signature, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def _edges(sided: DataFrame, start: int) -> DataFrame:
-    """(level, node, char, child) of both tries, from the level `start` on; child_word where a word ends on the child."""
+    """(level, node, char, child) of both tries, from the level `start` on.
+
+    child_word is there where a word ends on the child; s0, s1, ... are the
+    signature of all that follows the child.
+    """
     steps = sided.select("side", "word", F.explode(F.sequence(F.lit(start), F.length("word") - 1)).alias("level"))
     steps = steps.select(
         "level",
@@ -93,8 +123,10 @@ def _edges(sided: DataFrame, start: int) -> DataFrame:
         _char("word", "level").alias("char"),
         _node("side", _prefix("word", F.col("level") + 1)).alias("child"),
         F.when(F.col("level") == F.length("word") - 1, F.col("word")).alias("child_word"),
+        *[m.alias(f"m{k}") for k, m in enumerate(_mark(F.substring("word", F.col("level") + 2, F.length("word"))))],
     )
-    return steps.groupBy("level", "node", "char", "child").agg(F.max("child_word").alias("child_word"))
+    signature = [F.bit_or(f"m{k}").alias(f"s{k}") for k in range(_SIGNATURE)]
+    return steps.groupBy("level", "node", "char", "child").agg(F.max("child_word").alias("child_word"), *signature)
 
 
 def _skipped(states: DataFrame) -> DataFrame:
@@ -108,23 +140,29 @@ def _skipped(states: DataFrame) -> DataFrame:
 
 
 def _advanced(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states one level on."""
-    edges = edges.select(F.col("node").alias("at"), "char", "child", "child_word")
+    """The states one level on; of those with an edit the ones whose rest may follow."""
+    signature = [f"s{k}" for k in range(_SIGNATURE)]
+    edges = edges.select(F.col("node").alias("at"), "char", "child", "child_word", *signature)
     nxt = _char("word", "position")
     one = states.filter("edits = 1 AND position < length(word)").withColumn("next", nxt)
     one = one.join(edges, (F.col("node") == F.col("at")) & (F.col("next") == F.col("char")))
-    one = one.select("side", "word", (F.col("position") + 1).alias("position"), F.col("child").alias("node"), F.col("child_word").alias("node_word"), "edits")
+    one = one.select("side", "word", (F.col("position") + 1).alias("position"), F.col("child").alias("node"), F.col("child_word").alias("node_word"), "edits", *signature)
     none = states.filter("edits = 0").withColumn("next", nxt).join(edges, F.col("node") == F.col("at"))
     # read, replace, or take the child's code point as one more
-    step = lambda position, edits: F.struct(position.alias("position"), F.lit(edits).alias("edits"))
+    rest = lambda position: F.substring("word", position + 1, F.length("word"))
     here, after = F.col("position"), F.col("position") + 1
     same, ended = F.col("next") == F.col("char"), F.col("next") == ""
+    none = none.withColumn("replaced", ~same & ~ended & _may_follow(rest(after))).withColumn("inserted", ~same & _may_follow(rest(here)))
+    none = none.filter(same | F.col("replaced") | F.col("inserted"))
+    step = lambda position, edits: F.struct(position.alias("position"), F.lit(edits).alias("edits"))
     moves = (
         F.when(same, F.array(step(after, 0)))
-        .when(ended, F.array(step(here, 1)))
+        .when(~F.col("replaced"), F.array(step(here, 1)))
+        .when(~F.col("inserted"), F.array(step(after, 1)))
         .otherwise(F.array(step(after, 1), step(here, 1)))
     )
     none = none.select("side", "word", F.col("child").alias("node"), F.col("child_word").alias("node_word"), F.explode(moves).alias("m"))
+    one = one.filter(_may_follow(rest(here))).drop(*signature)
     return one.unionByName(none.select("side", "word", "m.position", "node", "node_word", "m.edits"))
 
 
