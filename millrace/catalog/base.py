@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -44,8 +45,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Partitions of the rows a model is fitted on.
-LAYOUT = 32
+# Rows of a fit in one partition. Every partition holds statistics of all nodes
+# of a tree level, so small ones cost more than they gain.
+ROWS_PER_PARTITION = 1 << 15
+
+
+def layout(df: DataFrame) -> int:
+    """Partitions of the rows a model is fitted on: by their number, not by the cores; fuller ones where there are many."""
+    rows = df.count()
+    few = math.ceil(rows / ROWS_PER_PARTITION)
+    return max(1, min(few, 4096), math.ceil(rows / (1 << 20)))
 
 
 def line_rows(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
@@ -53,7 +62,7 @@ def line_rows(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataF
     lines = table(spark, sf_dir, "lineitem")
     keys = [F.col(k).alias(f"_{k}") for k in LINE_KEYS]
     wanted = lines.select(*columns)
-    dealt = laid_out(lines.select(*keys, *columns), LAYOUT, *[f"_{k}" for k in LINE_KEYS])
+    dealt = laid_out(lines.select(*keys, *columns), layout(lines), *[f"_{k}" for k in LINE_KEYS])
     return dealt.select(*wanted.columns)
 
 

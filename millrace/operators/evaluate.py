@@ -20,8 +20,8 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
 
-def class_metric_row(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """accuracy, weighted precision, weighted recall and f1 in one row.
+def class_metric_rows(df: DataFrame, label: str, prediction: str, *by: str) -> DataFrame:
+    """accuracy, weighted precision, weighted recall and f1 in one row, or in one for each value of `by`.
 
     The rows are counted per (label, prediction) first; all that follows works
     on those few counts.
@@ -32,10 +32,13 @@ def class_metric_row(df: DataFrame, label: str, prediction: str) -> DataFrame:
         F.struct(F.col("label").alias("c"), n.alias("actual"), none.alias("guessed"), F.when(hit, n).otherwise(0).alias("tp")),
         F.struct(F.col("prediction").alias("c"), none.alias("actual"), n.alias("guessed"), none.alias("tp")),
     )
+    if by:
+        cells = df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
+    else:
+        cells = confusion_cells(df, label, prediction)
     per_class = (
-        confusion_cells(df, label, prediction)
-        .select(F.inline(sides))
-        .groupBy("c")
+        cells.select(*by, F.inline(sides))
+        .groupBy(*by, "c")
         .agg(*[F.sum(x).alias(x) for x in ("actual", "guessed", "tp")])
         .withColumn("p", _ratio(F.col("tp"), F.col("guessed")))
         .withColumn("r", _ratio(F.col("tp"), F.col("actual")))
@@ -45,7 +48,7 @@ def class_metric_row(df: DataFrame, label: str, prediction: str) -> DataFrame:
     def weighted(x: str) -> Column:
         return F.sum(F.col("actual") * F.col(x)) / F.sum("actual")
 
-    return per_class.agg(
+    return per_class.groupBy(*by).agg(
         (F.sum("tp") / F.sum("actual")).alias("accuracy"),
         weighted("p").alias("weightedPrecision"),
         weighted("r").alias("weightedRecall"),
@@ -53,15 +56,25 @@ def class_metric_row(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
+def class_metric_row(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """The four class metrics in one row."""
+    return class_metric_rows(df, label, prediction)
+
+
 def class_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     return _long(class_metric_row(df, label, prediction), CLASS_METRICS)
 
 
 def value_metric_row(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """mse, rmse, r2 and mae in one row."""
+    return value_metric_rows(df, label, prediction)
+
+
+def value_metric_rows(df: DataFrame, label: str, prediction: str, *by: str) -> DataFrame:
+    """The four value metrics, in one row for each value of `by`."""
     miss = F.col(label) - F.col(prediction)
     mse = F.avg(miss * miss)
-    return df.agg(
+    return df.groupBy(*by).agg(
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
         (1 - F.try_divide(mse, F.var_pop(label))).alias("r2"),

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import Keys, hash_bucket
 from millrace.operators.encode import assembler, feature_columns
-from millrace.operators.evaluate import class_metric_row, value_metric_row
+from millrace.operators.evaluate import class_metric_rows, value_metric_rows
+from millrace.plans.derived import Shared, point_model, shared_fits
 from millrace.plans.models import Fitted, labelled
 from millrace.session import held
 
@@ -55,9 +56,34 @@ def k_folds(folds: int) -> list[tuple[Column, Column]]:
     return [(F.col(_BUCKET) != i, F.col(_BUCKET) == i) for i in range(folds)]
 
 
-def _score(predictions: DataFrame, label: str, metric: str) -> float:
-    row = value_metric_row if metric in _LARGER_IS_WORSE | {"r2"} else class_metric_row
-    return row(predictions, label, "prediction").first()[metric]
+def score_all(models: list[Model], rows: DataFrame, label: str, metric: str) -> list[float]:
+    """The metric of every model, from one scan of the rows.
+
+    Every model adds its prediction to the row, and one aggregate counts them
+    all by model. A model writes nothing else beside it, so Spark computes no
+    probabilities.
+    """
+    names = []
+    for k, model in enumerate(models):
+        name = f"_prediction_{k}"
+        model = model.copy({model.predictionCol: name, **{getattr(model, p): "" for p in ("rawPredictionCol", "probabilityCol") if model.hasParam(p)}})
+        rows = model.transform(rows)
+        names.append(name)
+    each = F.posexplode(F.array(*[F.col(n) for n in names])).alias("_model", "prediction")
+    predicted = rows.select(F.col(label).alias("label"), each)
+    by = value_metric_rows if metric in _LARGER_IS_WORSE | {"r2"} else class_metric_rows
+    found = {r["_model"]: r[metric] for r in by(predicted, "label", "prediction", "_model").collect()}
+    return [found[k] for k in range(len(models))]
+
+
+def fit_points(estimator: Estimator, grid: list[dict], train: DataFrame, shared: Shared) -> dict[int, Model]:
+    """The models of the points of one shared fit."""
+    whole = estimator.fit(train, shared.settings)
+    out = {}
+    for i in shared.points:
+        model = point_model(estimator, whole, shared.settings, grid[i])
+        out[i] = model if model is not None else estimator.fit(train, grid[i])
+    return out
 
 
 def tune(
@@ -68,6 +94,7 @@ def tune(
     label: str,
     metric: str = "f1",
     parallelism: int = 4,
+    prepare: Estimator | None = None,
 ) -> Tuned:
     """Score every grid point on every part, then refit the best on all rows.
 
@@ -75,25 +102,41 @@ def tune(
     it. Spark's own tuners draw the parts with rand() or check a fold column in
     a Python function per row, and cache a copy per fold. Here a part depends
     on the row's hash only, so a recomputed partition cannot move a row from
-    training to validation.
+    training to validation. Points that one fit covers share it, the fits of all parts
+    go through one pool, and a part's models are scored in one scan.
+
+    `prepare` is fitted once for each part's training rows and for the winner, not
+    for each point; the winner is then a pipeline of both.
     """
-    totals = [0.0] * len(grid)
-    with held(rows) as cached, ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
+    fits = shared_fits(estimator, grid)
+    with held(rows) as cached, ThreadPool(max(1, min(parallelism, len(fits) * len(parts)))) as pool:
+        sides = []
         for is_train, is_validation in parts:
             train, validation = cached.where(is_train), cached.where(is_validation)
-            fits = estimator.fitMultiple(train, grid)
-
-            def one(_, fits=fits, validation=validation):
-                i, model = next(fits)
-                return i, _score(model.transform(validation), label, metric)
-
-            # the caller's job group and pool go with each thread
-            for i, value in pool.imap_unordered(inheritable_thread_target(one), range(len(grid))):
+            if prepare is not None:
+                ready = prepare.fit(train)
+                train, validation = ready.transform(train), ready.transform(validation)
+            sides.append((train, validation))
+
+        def one(job):
+            part, fit = job
+            return part, fit_points(estimator, grid, sides[part][0], fit)
+
+        # the caller's job group and pool go with each thread
+        models: list[dict[int, Model]] = [{} for _ in parts]
+        for part, found in pool.imap_unordered(inheritable_thread_target(one), [(p, f) for p in range(len(parts)) for f in fits]):
+            models[part].update(found)
+        totals = [0.0] * len(grid)
+        for (_, validation), found in zip(sides, models, strict=True):
+            for i, value in enumerate(score_all([found[i] for i in range(len(grid))], validation, label, metric)):
                 totals[i] += value
         scores = [t / len(parts) for t in totals]
         pick = min if metric in _LARGER_IS_WORSE else max
         best = scores.index(pick(scores))
-        return Tuned(estimator.fit(cached, grid[best]), scores, grid, best)
+        if prepare is None:
+            return Tuned(estimator.fit(cached, grid[best]), scores, grid, best)
+        ready = prepare.fit(cached)
+        return Tuned(PipelineModel([ready, estimator.fit(ready.transform(cached), grid[best])]), scores, grid, best)
 
 
 def tune_classifier(
@@ -108,11 +151,12 @@ def tune_classifier(
     parts: list[tuple[Column, Column]],
     metric: str,
     parallelism: int,
+    prepare: Estimator | None = None,
 ) -> tuple[Fitted, Tuned]:
     """Assemble once, tune on vector, label and bucket, and put the winner behind the assembler."""
     names = list(features or feature_columns(train, label, list(keys)))
     stage = assembler(names)
     rows = stage.transform(bucketed(labelled(train, label), keys, buckets)).select(label, _BUCKET, "features")
-    tuned = tune(rows, estimator, grid, parts, label, metric, parallelism)
+    tuned = tune(rows, estimator, grid, parts, label, metric, parallelism, prepare)
     model = PipelineModel([stage, tuned.model])
     return Fitted(model, labelled(train, label), labelled(test, label), label, names), tuned
