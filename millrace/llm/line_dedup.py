@@ -133,7 +133,8 @@ def find_repeated_lines(docs: DataFrame, *, words: int = 5, percent: int = 75) -
     gone = again.select(F.col("doc_id").alias("gone"), F.col("place").alias("gone_at"))
     here = F.col("doc_id").eqNullSafe(F.col("gone")) & (F.col("place") == F.col("gone_at"))
     few = again.count() * 96 <= BROADCAST_BYTES
-    fresh = lines.filter(F.size("w") > words)
+    # of lines with fewer words all are one shingle, which only copies share
+    fresh = lines.filter(F.size("w") >= words)
     if few:  # copies need not be looked at again; else they go once the rows are small
         fresh = fresh.join(F.broadcast(gone), here, "left_anti")
     fresh = fresh.select("doc_id", "place", F.sort_array(_tokens(F.col("w"), words)).alias("t")).withColumn("n", F.size("t"))

@@ -89,10 +89,12 @@ def _slice_figures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     mean = _per_text(length, first) / some
     square = _per_text(length * length, first) / some
     distinct, most = _distinct(hashes, first)
-    pairs = hashes[:-1] * np.uint64(3) + hashes[1:] if len(hashes) > 1 else hashes[:0]
-    pairs = np.append(pairs, hashes[-1:])
-    distinct_pairs, _ = _distinct(pairs, first)
-    repeat = np.append(hashes[1:] == hashes[:-1], [False])[: len(hashes)]
+    # the last word of a text has none after it
+    inner = np.ones(len(hashes), bool)
+    inner[first[1:][n_words > 0] - 1] = False
+    after = np.append(hashes[1:], np.zeros(1, np.uint64))[: len(hashes)]
+    distinct_pairs, _ = _distinct(np.where(inner, hashes * np.uint64(3) + after, hashes), first)
+    repeat = inner & (after == hashes)
 
     # lines: cut after every newline, and where a text begins
     start = np.zeros(len(data) + 1, bool)

@@ -38,6 +38,7 @@ _BITS = 5
 _SPACE, _OTHER = 0, 31
 # (gap after the first, second, third letter)
 _GAPS = [(a, b, c) for a in (0, 1) for b in (0, 1) for c in (0, 1)]
+_REACH = 6  # letters after the first, skips included
 _BLOCK = 12
 # Signs commonly written for letters.
 _WRITTEN_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -100,13 +101,26 @@ def _blocks(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, sentence, np.searchsorted(at, starts, side="right") - 1
 
 
-def _fours(folded: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
-    """Codes of the four letters from every position on, for every way of skipping."""
+def _fours(folded: np.ndarray, at: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, float]]:
+    """Codes of the four letters from every position on, for every way of skipping.
+
+    What lies past the end counts as no letter; so does what lies past the end
+    of its text, where texts begin at `at`.
+    """
     padded = np.concatenate([folded, np.full(8, _OTHER, np.uint8)]).astype(np.int32)
     n = len(folded)
+    tail = np.zeros(0, np.int64)
+    if at is not None:
+        ends = at[1:]
+        tail = np.unique(ends[:, None] - np.arange(1, _REACH + 1))
+        tail = tail[tail >= 0]
+        tail_end = ends[np.searchsorted(ends, tail, side="right")]
     for a, b, c in _GAPS:
         i, j, k = 1 + a, 2 + a + b, 3 + a + b + c
         code = (padded[:n] << 15) | (padded[i : i + n] << 10) | (padded[j : j + n] << 5) | padded[k : k + n]
+        if len(tail):
+            first, *others = (np.where(tail + step < tail_end, padded[tail + step], _OTHER) for step in (0, i, j, k))
+            code[tail] = (first << 15) | (others[0] << 10) | (others[1] << 5) | others[2]
         yield code, LAMBDA ** (a + b + c)
 
 
@@ -117,7 +131,7 @@ def _sentence_scores(weights: np.ndarray, folded: np.ndarray, points: np.ndarray
     """
     starts, sentence, text = _blocks(points, at)
     local = np.zeros(len(folded), np.float32)
-    for code, weight in _fours(folded):
+    for code, weight in _fours(folded, at):
         local += np.float32(weight) * weights[code]
     sums = np.add.reduceat(local, starts) if len(starts) else np.zeros(0, np.float32)
     joined = sums.copy()

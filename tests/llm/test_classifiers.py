@@ -92,12 +92,20 @@ def test_quality_on_held_out_rows():
 
 
 def test_figures_of_a_text_do_not_depend_on_its_neighbours():
-    texts = ["", None, "Plain words here.\nAnd more.\n", "ÉÉ ü", "\n\n", "a" * 5000, "x | y | z", "Of Of Of"]
+    texts = ["", None, "Plain words here.\nAnd more.\n", "ÉÉ ü", "\n\n", "a" * 5000, "x | y | z", "Of Of Of", "hello", "hello", "hello", "", "hello world", "world", "a", "a b", "b a"]
     together = quality.figures(pa.array(texts))
     alone = np.concatenate([quality.figures(pa.array([t], pa.string())) for t in texts])
     assert np.allclose(together, alone)
 
 
+def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
+    model = _toxic_model()
+    texts = ["well id", "iot is here", "", None, "id", "iot", "you i", "diot", "such an idiot", "a", "", "idi", "ot. id", "iot\n", "zgrum", "ple", "fnord", "bag zgr", "umple", "i", "d", "i", "o", "t"]
+    together = toxicity.text_scores(model, pa.array(texts, pa.string()))
+    alone = np.concatenate([toxicity.text_scores(model, pa.array([t], pa.string())) for t in texts])
+    assert (together == alone).all()
+
+
 def test_interactions_are_learned():
     rng = np.random.default_rng(0)
     rows = np.zeros((2000, len(quality.FIGURES)))

@@ -106,6 +106,13 @@ def test_line_dedup_against_brute_force(spark):
     assert all(r.n_removed <= r.n_lines for r in got)
 
 
+def test_a_five_word_line_matches_a_longer_one_of_the_same_shingle(spark):
+    rows = [(1, "- - - - -"), (2, "- - - - - -"), (3, "a b c d e"), (4, "a b c d"), (5, "a b c d e f")]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == _dedup_lines(rows)
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0}
+
+
 def test_line_dedup_of_repeated_null_and_no_rows(spark):
     line = "the same line in all of them"
     rows = [(None, line), (1, line), (1, line), (1, f"{line}\nnew"), (2, line)]
