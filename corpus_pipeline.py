@@ -60,7 +60,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-# A fitted classifier and a tokenizer have no form in SQL; the stages are tested against brute force.
+# A fitted classifier and a tokenizer have no form in SQL. The operators have tests of their own; the stages are
+# tested for the columns, rows and labels they keep.
 ORACLE_SQL = None
 
 
