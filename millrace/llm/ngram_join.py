@@ -34,9 +34,10 @@ from millrace.session import BROADCAST_BYTES
 
 _WIDTH_BITS = 22
 _PARTS = 64
+_GROUP = 256
 _POST = np.dtype([("token", "<u8"), ("node", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 _SALTS = 16
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -73,9 +74,9 @@ def _profile(size: int):
                 held.append(tokens)
                 n_held += len(tokens)
                 if n_held > _FLUSH:
-                    counts += _bucket_counts(held)
+                    _count_into(counts, held)
                     held, n_held = [], 0
-            counts += _bucket_counts(held)
+            _count_into(counts, held)
             n = len(nodes)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -85,8 +86,7 @@ def _profile(size: int):
                 names=["key", "doc_id", "node", "n", "part", "counts"],
             )
         if counts.any():
-            counts = np.minimum(counts, most).astype(np.uint16)
-            rows = [x.tobytes() for x in np.split(counts, _PARTS)]
+            rows = [np.minimum(x, most).astype(np.uint16).tobytes() for x in np.split(counts, _PARTS)]
             none = pa.nulls(_PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [none, none, none, pa.nulls(_PARTS, pa.int32()), pa.array(range(_PARTS), pa.int32()), pa.array(rows, pa.binary())],
@@ -96,33 +96,59 @@ def _profile(size: int):
     return run
 
 
-def _bucket_counts(held: list[np.ndarray]) -> np.ndarray:
-    if not held:
-        return np.uint32(0)
-    at = (np.concatenate(held) >> np.uint64(64 - _WIDTH_BITS)).astype(np.int64)
-    return np.bincount(at, minlength=1 << _WIDTH_BITS).astype(np.uint32)
+def _count_into(counts: np.ndarray, held: list[np.ndarray]) -> None:
+    """Add the tokens by bucket in place; nothing of the table's width is made beside it."""
+    if held:
+        at, n = np.unique((np.concatenate(held) >> np.uint64(64 - _WIDTH_BITS)).astype(np.uint32), return_counts=True)
+        counts[at] += n.astype(np.uint32)
+
+
+def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of a group's rows, which pass through one at a time."""
+    total, part, group = np.zeros((1 << _WIDTH_BITS) // _PARTS, np.uint64), None, None
+    for batch in batches:
+        part, group = batch.column("part")[0], batch.column("group")[0]
+        for row in batch.column("counts"):
+            raw = row.as_buffer()
+            total += np.frombuffer(raw, np.uint16 if raw.size == 2 * len(total) else np.uint64)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([part.as_py()], pa.int32()), pa.array([group.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+        names=["part", "group", "counts"],
+    )
 
 
-def _add_counts(table: pa.Table) -> pa.Table:
-    total = np.zeros((1 << _WIDTH_BITS) // _PARTS, np.uint64)
-    for row in table.column("counts"):
-        total += np.frombuffer(row.as_py(), np.uint16)
-    return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+def _scale_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [np.frombuffer(row.as_buffer(), np.uint64) for row in batch.column("counts")]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("part"), pa.array([_scaled(c).tobytes() for c in counts], pa.binary()),
+                pa.array([int(c.sum()) for c in counts], pa.int64()),
+            ],
+            names=["part", "counts", "total"],
+        )
 
 
 def _rarity(profile: DataFrame) -> tuple[np.ndarray, int]:
     """Of all tokens by bucket, the logarithm of the count in steps of 1/256: eight megabytes, whatever the input.
 
-    Also the number of all tokens.
+    Also the number of all tokens. The tasks' tables are summed in rounds, at most _GROUP
+    of them in one: a group is read as a stream and holds one sum.
     """
     parts = profile.filter("part IS NOT NULL").select("part", "counts")
-    parts = parts.groupBy("part").applyInArrow(_add_counts, "part int, counts binary")
+    n = parts.count() // _PARTS
+    while True:
+        n = -(-n // _GROUP)
+        grouped = parts.withColumn("group", F.pmod(F.xxhash64("counts"), F.lit(max(n, 1))).cast("int"))
+        parts = grouped.groupBy("part", "group").applyInArrow(_add_counts, "part int, group int, counts binary").drop("group")
+        if n <= 1:
+            break
+    parts = parts.select("part", "counts").mapInArrow(_scale_counts, "part int, counts binary, total long")
     out = np.zeros(1 << _WIDTH_BITS, np.uint16)
     width, total = len(out) // _PARTS, 0
-    for row in parts.toLocalIterator():
-        counts = np.frombuffer(row.counts, np.uint64)
-        out[row.part * width : (row.part + 1) * width] = _scaled(counts)
-        total += int(counts.sum())
+    for row in parts.collect():
+        out[row.part * width : (row.part + 1) * width] = np.frombuffer(row.counts, np.uint16)
+        total += row.total
     return out, total
 
 
@@ -310,6 +336,7 @@ def link_documents(
     packed = docs.select("text").mapInArrow(_postings(words, percent, counts, buckets, hot), "bucket int, rows binary")
     rows = packed.groupBy("bucket").applyInArrow(_meet(counts, hot), "token long, node long, n int, pos int")
     rows = written(rows, "ngram-rows")
+    counts.destroy()  # the rows are on shared storage, nothing reads it again
 
     links, passes = [], _passes(percent)
     spark = docs.sparkSession

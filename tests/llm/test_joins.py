@@ -7,10 +7,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from millrace.llm import exact_dedup
+from millrace.llm import exact_dedup, ngram_join
 from millrace.llm.components import connected_components
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
@@ -156,3 +157,24 @@ def test_exact_dedup_against_brute_force(spark):
         want.append((i, max(group), len(group), i == max(group), hashlib.sha256(normal(t).encode()).hexdigest()))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert exact_dedup.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_counts_of_many_tasks_are_summed_in_rounds(monkeypatch):
+    """Tables of more tasks than one group takes give the same sums."""
+    monkeypatch.setattr(ngram_join, "_WIDTH_BITS", 8)
+    rng = np.random.default_rng(5)
+    tables = rng.integers(0, 1000, (7, 256)).astype(np.uint16)
+    width = 256 // ngram_join._PARTS
+    rows = [(k, t[k * width : (k + 1) * width].tobytes()) for t in tables for k in range(ngram_join._PARTS)]
+
+    def total(arrays):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([0] * len(arrays), pa.int32()), pa.array([0] * len(arrays), pa.int32()), pa.array(arrays, pa.binary())],
+            names=["part", "group", "counts"],
+        )
+        (out,) = ngram_join._add_counts(iter([batch.slice(0, 1), batch.slice(1)]))
+        return out.column("counts")[0].as_py()
+
+    first = [c for k, c in rows if k == 0]
+    whole = total([total(first[:3]), total(first[3:])])
+    assert np.array_equal(np.frombuffer(whole, np.uint64), tables[:, :width].sum(0, dtype=np.uint64))
