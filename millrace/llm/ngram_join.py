@@ -103,31 +103,26 @@ def _count_into(counts: np.ndarray, held: list[np.ndarray]) -> None:
         counts[at] += n.astype(np.uint32)
 
 
-def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of a group's rows, which pass through one at a time."""
-    total, part, group = np.zeros((1 << _WIDTH_BITS) // _PARTS, np.uint64), None, None
-    for batch in batches:
-        part, group = batch.column("part")[0], batch.column("group")[0]
-        for row in batch.column("counts"):
-            raw = row.as_buffer()
-            total += np.frombuffer(raw, np.uint16 if raw.size == 2 * len(total) else np.uint64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([part.as_py()], pa.int32()), pa.array([group.as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-        names=["part", "group", "counts"],
-    )
-
+def _add_counts(last: bool):
+    """The sum of a group's tables, which pass through one at a time; the last round gives it by _scaled."""
 
-def _scale_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = [np.frombuffer(row.as_buffer(), np.uint64) for row in batch.column("counts")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, part = np.zeros((1 << _WIDTH_BITS) // _PARTS, np.uint64), None
+        for batch in batches:
+            part = batch.column("part")[0].as_py()
+            for row in batch.column("counts"):
+                raw = row.as_buffer()
+                counts += np.frombuffer(raw, np.uint16 if raw.size == 2 * len(counts) else np.uint64)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("part"), pa.array([_scaled(c).tobytes() for c in counts], pa.binary()),
-                pa.array([int(c.sum()) for c in counts], pa.int64()),
+                pa.array([part], pa.int32()), pa.array([(_scaled(counts) if last else counts).tobytes()], pa.binary()),
+                pa.array([int(counts.sum())], pa.int64()),
             ],
             names=["part", "counts", "total"],
         )
 
+    return run
+
 
 def _rarity(profile: DataFrame) -> tuple[np.ndarray, int]:
     """Of all tokens by bucket, the logarithm of the count in steps of 1/256: eight megabytes, whatever the input.
@@ -139,11 +134,10 @@ def _rarity(profile: DataFrame) -> tuple[np.ndarray, int]:
     n = parts.count() // _PARTS
     while True:
         n = -(-n // _GROUP)
-        grouped = parts.withColumn("group", F.pmod(F.xxhash64("counts"), F.lit(max(n, 1))).cast("int"))
-        parts = grouped.groupBy("part", "group").applyInArrow(_add_counts, "part int, group int, counts binary").drop("group")
+        grouped = parts.select("part", "counts").withColumn("group", F.pmod(F.xxhash64("counts"), F.lit(max(n, 1))).cast("int"))
+        parts = grouped.groupBy("part", "group").applyInArrow(_add_counts(n <= 1), "part int, counts binary, total long")
         if n <= 1:
             break
-    parts = parts.select("part", "counts").mapInArrow(_scale_counts, "part int, counts binary, total long")
     out = np.zeros(1 << _WIDTH_BITS, np.uint16)
     width, total = len(out) // _PARTS, 0
     for row in parts.collect():

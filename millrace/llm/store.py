@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import shared_path
 
+# Most bytes of rows that go to a Python worker at once; 10,000 long texts would be many times that.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -29,6 +33,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of BATCH_BYTES at most, where the session was started without a bound of its own.
+
+    Scores and pieces of a text do not depend on the batch it comes in.
+    """
+    named = spark.sparkContext.getConf().get(_BATCH_SETTING, None)
+    if named is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def _remove() -> None:
     """At the end of the driver, take away what written() made."""
     for spark, path in _made:

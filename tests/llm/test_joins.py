@@ -167,14 +167,13 @@ def test_counts_of_many_tasks_are_summed_in_rounds(monkeypatch):
     width = 256 // ngram_join._PARTS
     rows = [(k, t[k * width : (k + 1) * width].tobytes()) for t in tables for k in range(ngram_join._PARTS)]
 
-    def total(arrays):
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array([0] * len(arrays), pa.int32()), pa.array([0] * len(arrays), pa.int32()), pa.array(arrays, pa.binary())],
-            names=["part", "group", "counts"],
-        )
-        (out,) = ngram_join._add_counts(iter([batch.slice(0, 1), batch.slice(1)]))
-        return out.column("counts")[0].as_py()
+    def summed(arrays, last):
+        batch = pa.RecordBatch.from_arrays([pa.array([0] * len(arrays), pa.int32()), pa.array(arrays, pa.binary())], names=["part", "counts"])
+        (out,) = ngram_join._add_counts(last)(iter([batch.slice(0, 1), batch.slice(1)]))
+        return out.column("counts")[0].as_py(), out.column("total")[0].as_py()
 
     first = [c for k, c in rows if k == 0]
-    whole = total([total(first[:3]), total(first[3:])])
-    assert np.array_equal(np.frombuffer(whole, np.uint64), tables[:, :width].sum(0, dtype=np.uint64))
+    found, total = summed([summed(first[:3], False)[0], summed(first[3:], False)[0]], True)
+    wanted = tables[:, :width].sum(0, dtype=np.uint64)
+    assert total == int(wanted.sum())
+    assert np.array_equal(np.frombuffer(found, np.uint16), ngram_join._scaled(wanted))
