@@ -13,7 +13,7 @@ from millrace.llm import packing, quality, toxicity
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import link_documents
 from millrace.llm.queries import TOKENIZER, table, tokenizer_path
-from millrace.llm.store import written
+from millrace.llm.store import bounded_batches, written
 from millrace.session import BROADCAST_BYTES
 
 TOXIC_FROM = 0.5
@@ -22,18 +22,21 @@ GOOD_FROM = 0.7
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below TOXIC_FROM."""
+    bounded_batches(spark)
     model = toxicity.fit_from_labels(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, output="_score").filter(F.col("_score") < TOXIC_FROM).drop("_score")
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored GOOD_FROM or above."""
+    bounded_batches(spark)
     model = quality.fit_from_labels(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model, output="_score").filter(F.col("_score") >= GOOD_FROM).drop("_score")
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat or nearly repeat an earlier one; n_chars follows."""
+    bounded_batches(spark)
     columns = docs.columns
     cut = dedup_lines(docs).select(*columns)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else cut
@@ -41,6 +44,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that link, directly or over others, the one with the least id."""
+    bounded_batches(spark)
     linked = link_documents(docs)
     gone = written(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-gone")
     gone = F.broadcast(gone) if gone.count() * 64 <= BROADCAST_BYTES else gone
@@ -49,6 +53,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in windows of 1024 ids."""
+    bounded_batches(spark)
     return packing.pack_documents(docs, tokenizer=tokenizer_path(TOKENIZER))
 
 
