@@ -247,27 +247,23 @@ def pack_documents(
         encoder, packer = Encoder(tokenizer, end_id), Packer(window)
         base = TaskContext.get().partitionId() << 33
         made = 0
-        out: list[list] = []  # id, start, ids, doc_tokens, sequence, offset
+        out: list[list] = []  # id, start, length, crc32, doc_tokens, sequence, offset, and the ids only if asked
 
         def emit(pieces: list[list]) -> None:
             nonlocal made
             at = 0
             for doc, start, ids, total in pieces:
-                out.append([doc, start, ids, total, base + made, at])
+                # an array kept here would keep all ids of its slice
+                out.append([doc, start, len(ids), zlib.crc32(ids), total, base + made, at, ids.astype(np.int32) if with_ids else None])
                 at += len(ids)
             made += 1
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            ids = columns[2]
-            arrays = [
-                pa.array(columns[0], id_type), pa.array(columns[1], pa.int64()), pa.array(map(len, ids), pa.int64()),
-                pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64()),
-                pa.array(columns[5], pa.int64()),
-            ]
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            arrays = [pa.array(columns[0], id_type), *[pa.array(c, pa.int64()) for c in columns[1:7]]]
             names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if with_ids:
-                arrays.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
+                arrays.append(pa.array(columns[7], pa.list_(pa.int32())))
                 names.append("ids")
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, names=names)
@@ -290,7 +286,7 @@ def pack_documents(
                         piece = [doc, start, whole[start:].copy(), total]
                         if full := packer.place(piece, total - start):
                             emit(full)
-                if len(out) > 20_000:
+                if len(out) > (2_000 if with_ids else 20_000):
                     yield flush()
         rest = deque(packer.rest())
         left = sum(len(p[2]) for p in rest)
