@@ -273,6 +273,46 @@ def anomalies_two_groups(spark, sf_dir):
     return rounded(found.anomalies(lines, 100).drop("cluster"), "dist")
 
 
+# Scaled columns all have the same spread. Four that say the same outweigh the two others, so that
+# the two clusters are the two line statuses, where each scaled number varies around its mean.
+_STATUS = {f"status_{i}": "l_linestatus" for i in range(4)}
+_STATUS_NUMBERS = {f"status_{i}": "CAST(l_linestatus = 'O' AS INT)" for i in range(4)}
+_SMALL = {"quantity": "l_quantity", "discount": "l_discount"}
+_STATUS_COST = """
+WITH a AS (SELECT stddev_samp(l_quantity) AS q, stddev_samp(l_discount) AS d, CAST(count(*) AS DOUBLE) AS n FROM lineitem),
+g AS (SELECT count(*) * var_pop(l_quantity) AS q, count(*) * var_pop(l_discount) AS d FROM lineitem GROUP BY l_linestatus)
+SELECT CAST(2 AS INT) AS k, round(sum(g.q / (a.q * a.q) + g.d / (a.d * a.d)) / max(a.n), 6) AS score FROM g, a
+"""
+
+
+@query("kmeans_scaled_two_groups", _STATUS_COST)
+def kmeans_scaled_two_groups(spark, sf_dir):
+    lines = line_rows(spark, sf_dir, *exprs(_STATUS_NUMBERS | _SMALL))
+    found = cost_sweep(lines, fit_scaled_features(lines, ""), [2], "scaledFeatures", initSteps=10, **TIGHT)
+    return rounded(found, "score")
+
+
+@query("kmeans_onehot_two_groups", _STATUS_COST)
+def kmeans_onehot_two_groups(spark, sf_dir):
+    lines = line_rows(spark, sf_dir, *exprs(_STATUS | _SMALL))
+    features = fit_connection_features(lines, "", list(_STATUS))
+    return rounded(cost_sweep(lines, features, [2], "scaledFeatures", initSteps=10, **TIGHT), "score")
+
+
+@query(
+    "kmeans_entropy_two_groups",
+    """
+WITH n AS (SELECT l_linestatus, l_linenumber, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY 1, 2),
+p AS (SELECT n, n / sum(n) OVER (PARTITION BY l_linestatus) AS p FROM n)
+SELECT CAST(2 AS INT) AS k, round(sum(-n * ln(p)) / sum(n), 6) AS score FROM p
+""",
+)
+def kmeans_entropy_two_groups(spark, sf_dir):
+    lines = line_rows(spark, sf_dir, *exprs(_STATUS | _SMALL), "l_linenumber")
+    features = fit_connection_features(lines, "l_linenumber", list(_STATUS))
+    return rounded(entropy_sweep(lines, features, "l_linenumber", [2], initSteps=10, **TIGHT), "score")
+
+
 @query("anomalies")
 def anomalies(spark, sf_dir):
     lines = line_rows(spark, sf_dir, "l_orderkey", *_NUMBERS, *_TEXTS, "l_linenumber")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import (
@@ -270,6 +270,33 @@ def tree_text(spark, sf_dir):
     return inspect.tree_text(spark, fitted.model)
 
 
+# Bulk lines are most of those with a high quantity and none of the others: the sides of the split predict different labels.
+@query(
+    "tree_nodes",
+    f"""
+WITH b AS (SELECT {_BULK} AS y, {BINARY["qty_high"]} AS qty_high, {BINARY["tax_high"]} AS tax_high FROM lineitem),
+x AS (SELECT 'qty_high' AS feature, qty_high AS v, y FROM b UNION ALL SELECT 'tax_high', tax_high, y FROM b),
+s AS (SELECT feature, v, CAST(count(*) AS DOUBLE) AS n, avg(y) AS p FROM x GROUP BY 1, 2),
+pick AS (SELECT feature FROM s GROUP BY 1 ORDER BY sum(n * p * (1 - p)), 1 LIMIT 1),
+leaf AS (SELECT CAST(v + 1 AS INT) AS node, n, p FROM s JOIN pick USING (feature)),
+root AS (SELECT count(*) AS n, avg(y) AS p FROM b),
+inside AS (SELECT sum(n * 2 * p * (1 - p)) / sum(n) AS impurity FROM leaf)
+SELECT CAST(0 AS INT) AS tree, CAST(0 AS INT) AS node, feature, 0.5::DOUBLE AS threshold, CAST(1 AS INT) AS "left",
+       CAST(2 AS INT) AS "right", CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+       round(2 * p * (1 - p), 6) AS impurity, round(2 * p * (1 - p) - inside.impurity, 6) AS gain, CAST(n AS BIGINT) AS n
+FROM root, pick, inside
+UNION ALL
+SELECT 0, node, NULL, NULL, NULL, NULL, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END,
+       round(2 * p * (1 - p), 6), NULL, CAST(n AS BIGINT) FROM leaf
+""",
+)
+def tree_nodes(spark, sf_dir):
+    spec = {"label": _BULK, "qty_high": BINARY["qty_high"], "tax_high": BINARY["tax_high"]}
+    lines = line_rows(spark, sf_dir, *exprs(spec))
+    fitted = trees.decision_tree(lines, lines, "label", maxDepth=1)
+    return rounded(fitted.nodes().drop("categories"), "impurity", "gain")
+
+
 @query(
     "decision_stump",
     """
@@ -397,6 +424,25 @@ def lr_coefficients(spark, sf_dir):
     return rounded(fitted.coefficients(), "coefficient", places=4)
 
 
+@query(
+    "scored_rows",
+    f"""
+WITH b AS (SELECT {BINARY["price_high"]} AS y, {BINARY["qty_high"]} AS x, {_BUCKET} AS bucket FROM lineitem),
+p AS (SELECT x, avg(y) AS p FROM b WHERE bucket < 9 GROUP BY 1)
+SELECT CAST(b.y AS DOUBLE) AS label, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+       round(1 - p, 4) AS p_0, round(p, 4) AS p_1
+FROM b JOIN p USING (x) WHERE bucket >= 9
+""",
+)
+def scored_rows(spark, sf_dir):
+    """Every row of the test part with its prediction and probabilities; unpenalised, they are the group's shares."""
+    train, test = _split(spark, sf_dir, _PRICE_COLUMNS)
+    fitted = regression.logistic_regression(train, test, "label", ["qty_high"], regParam=0.0, maxIter=100, tol=1e-10)
+    p = vector_to_array("probability")
+    rows = fitted.scored().select("label", "prediction", p[0].alias("p_0"), p[1].alias("p_1"))
+    return rounded(rows, "p_0", "p_1", places=4)
+
+
 @query("model_params")
 def model_params(spark, sf_dir):
     return regression.logistic_regression(*_split(spark, sf_dir, _PRICE_COLUMNS), "label").params()

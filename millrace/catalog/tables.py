@@ -10,6 +10,7 @@ from millrace.operators.inspect import schema_report
 from millrace.operators.rank import preview
 from millrace.session import shared_path
 from millrace.sources import (
+    bad_apart,
     index_all,
     index_target,
     load_binary_numeric,
@@ -41,6 +42,21 @@ def csv_header_scan(spark, sf_dir):
     return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in part.schema.fields])
 
 
+@query(
+    "csv_bad_records",
+    "SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS p_size, p_partkey % 7 = 0 AS bad FROM part",
+)
+def csv_bad_records(spark, sf_dir):
+    """Every seventh size is not a number; its line is kept apart."""
+    size = F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("size "), "p_size")).otherwise(F.col("p_size").cast("string"))
+    part = table(spark, sf_dir, "part")
+    path = _as_csv(part.select("p_partkey", "p_name", size.alias("p_size")), "part-csv", header=False)
+    schema = part.select("p_partkey", "p_name", "p_size").schema
+    good, bad = bad_apart(scan_csv(spark, path, header=False, schema=schema, bad_records="line"), "line")
+    good, bad = (side.select("p_partkey", "p_size", F.lit(is_bad).alias("bad")) for side, is_bad in ((good, False), (bad, True)))
+    return good.unionByName(bad)
+
+
 @query("preview_rows", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
 def preview_rows(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")

@@ -16,7 +16,7 @@ from millrace.functions import as_doubles, squared_distance
 from millrace.operators.rank import kth_largest
 from millrace.session import BROADCAST_BYTES, cut_lineage
 
-_CENTER_SCHEMA = StructType(
+CENTER_SCHEMA = StructType(
     [StructField("cluster", IntegerType()), StructField("center", ArrayType(DoubleType()))]
 )
 
@@ -24,7 +24,7 @@ _CENTER_SCHEMA = StructType(
 def center_table(spark: SparkSession, model: KMeansModel) -> DataFrame:
     """The fitted centers as rows (cluster, center)."""
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, _CENTER_SCHEMA)
+    return spark.createDataFrame(rows, CENTER_SCHEMA)
 
 
 def group_centers(df: DataFrame, group: str, vector: str) -> DataFrame:

@@ -119,12 +119,12 @@ def label_entropy(df: DataFrame, group: str, label: str) -> DataFrame:
     )
 
 
-def weighted_entropy(df: DataFrame, group: str, label: str) -> DataFrame:
-    """Group entropies averaged with the group sizes as weights."""
+def weighted_entropy(df: DataFrame, group: str, label: str, *by: str) -> DataFrame:
+    """Group entropies averaged with the group sizes as weights, in one row or in one for each value of `by`."""
     groups = (
-        count_by(df, group, label)
-        .groupBy(group)
+        count_by(df, *by, group, label)
+        .groupBy(*by, group)
         .agg(F.sum("n").alias("size"), F.sum(_n_log_n("n")).alias("inner"))
     )
     spent = F.sum(_n_log_n("size") - F.col("inner")) / F.sum("size")
-    return groups.agg(F.greatest(spent, F.lit(0.0)).alias("entropy"))
+    return groups.groupBy(*by).agg(F.greatest(spent, F.lit(0.0)).alias("entropy"))

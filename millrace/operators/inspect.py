@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.session import shared_path
 
 
 def last_stage(model):
@@ -60,6 +62,41 @@ def tree_text(spark: SparkSession, model) -> DataFrame:
     return spark.createDataFrame(list(enumerate(lines, 1)), "line int, text string")
 
 
+def tree_nodes(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
+    """The nodes of a fitted tree, forest or boosted model, as rows read from its saved form.
+
+    (tree, node, feature, threshold, categories, left, right, prediction, impurity, gain, n).
+    Rows at or below the threshold, or of one of the categories, go left. A leaf has null
+    in feature, threshold, categories, left, right and gain; a split has a threshold or
+    categories. A single tree is tree 0; n counts rows, as the tree's bag held them.
+    The nodes never pass through the driver.
+    """
+    path = shared_path(spark, "tree")
+    last_stage(model).write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    if "nodeData" in data.columns:
+        data = data.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        data = data.select(F.lit(0).alias("tree"), "*")
+    inner, slot = F.col("leftChild") >= 0, F.col("split.featureIndex")
+    ordered = F.col("split.numCategories") < 0
+    values = F.col("split.leftCategoriesOrThreshold")
+    names = spark.createDataFrame(list(enumerate(features)), "_slot int, feature string")
+    return data.join(names, inner & (slot == F.col("_slot")), "left").select(
+        "tree",
+        F.col("id").alias("node"),
+        "feature",
+        F.when(inner & ordered, F.get(values, 0)).alias("threshold"),
+        F.when(inner & ~ordered, values).alias("categories"),
+        F.when(inner, F.col("leftChild")).alias("left"),
+        F.when(inner, F.col("rightChild")).alias("right"),
+        "prediction",
+        "impurity",
+        F.when(inner, F.col("gain")).alias("gain"),
+        F.col("rawCount").alias("n"),
+    )
+
+
 def grid_report(spark: SparkSession, scores: Sequence[float], grid: Sequence[dict]) -> DataFrame:
     """(rank, metric, params) of every grid point, best first."""
     named = [", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda i: i[0].name)) for g in grid]

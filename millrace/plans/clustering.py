@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -12,7 +13,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.cluster import at_least_kth, center_table, distance_to_center, mean_cost
+from millrace.operators.cluster import CENTER_SCHEMA, at_least_kth, center_table, distance_to_center, mean_cost
 from millrace.operators.counts import cluster_label_counts, largest_cluster_labels, weighted_entropy
 from millrace.plans.models import SEED
 from millrace.session import cut_lineage, held
@@ -86,26 +87,47 @@ def cluster(df: DataFrame, features: PipelineModel, k: int = 2, vector: str = "f
         return Clusters(features, k_means(k, vector, **params).fit(rows), vector)
 
 
+def assigned_by_all(rows: DataFrame, models: Sequence[KMeansModel]) -> DataFrame:
+    """Every row once for each model: the columns, the model's place as `_model` and the row's cluster there.
+
+    All models see a row in one scan.
+    """
+    out, names = rows, [f"_cluster_{i}" for i in range(len(models))]
+    for name, model in zip(names, models, strict=True):
+        out = model.copy({model.predictionCol: name}).transform(out)
+    return out.select(*rows.columns, F.posexplode(F.array(*names)).alias("_model", "cluster"))
+
+
+def _costs(assigned: DataFrame, models: Sequence[KMeansModel], vector: str) -> DataFrame:
+    """(_model, score): the mean squared distance to the own center of each model."""
+    starts = [0, *accumulate(m.getK() for m in models)]
+    centers = [(starts[i] + c, [float(x) for x in center]) for i, m in enumerate(models) for c, center in enumerate(m.clusterCenters())]
+    table = assigned.sparkSession.createDataFrame(centers, CENTER_SCHEMA)
+    own = F.col("cluster") + F.array(*map(F.lit, starts))[F.col("_model")]
+    rows = assigned.select("_model", own.alias("cluster"), vector_to_array(vector).alias("_v"))
+    return distance_to_center(rows, table, "_v").groupBy("_model").agg(F.avg("dist").alias("score"))
+
+
 def _sweep(
     df: DataFrame,
     features: PipelineModel,
     vector: str,
     keep: Sequence[str],
     ks: Sequence[int],
-    score: Callable[[Clusters, DataFrame], DataFrame],
+    score: Callable[[DataFrame, Sequence[KMeansModel]], DataFrame],
     parallelism: int,
     params: dict,
 ) -> DataFrame:
-    """(k, score). The vectors are computed and cached once for all k."""
-    vectors = PipelineModel([])
+    """(k, score). The vectors are computed and cached once for all k, and all models are scored in one scan."""
     with held(features.transform(df).select(vector, *keep)) as rows, ThreadPool(parallelism) as pool:
 
-        def one(k: int) -> tuple[int, float]:
-            model = k_means(k, vector, **params).fit(rows)
-            return k, float(score(Clusters(vectors, model, vector), rows).first()[0])
+        def one(k: int) -> KMeansModel:
+            return k_means(k, vector, **params).fit(rows)
 
         rows.count()
-        scored = pool.map(inheritable_thread_target(one), ks, chunksize=1)
+        models = pool.map(inheritable_thread_target(one), ks, chunksize=1)
+        found = {r["_model"]: r["score"] for r in score(assigned_by_all(rows, models), models).collect()}
+    scored = [(k, float(found[i])) for i, k in enumerate(ks)]
     return df.sparkSession.createDataFrame(scored, "k int, score double")
 
 
@@ -118,7 +140,7 @@ def cost_sweep(
     **params,
 ) -> DataFrame:
     """Mean squared distance to the own center for each k."""
-    return _sweep(df, features, vector, [], ks, lambda c, rows: c.cost(rows), parallelism, params)
+    return _sweep(df, features, vector, [], ks, lambda rows, models: _costs(rows, models, vector), parallelism, params)
 
 
 def entropy_sweep(
@@ -131,7 +153,8 @@ def entropy_sweep(
     **params,
 ) -> DataFrame:
     """Size-weighted label entropy inside the clusters for each k."""
-    def score(c: Clusters, rows: DataFrame) -> DataFrame:
-        return c.entropy(rows, label)
+
+    def score(rows: DataFrame, models: Sequence[KMeansModel]) -> DataFrame:
+        return weighted_entropy(rows, "cluster", label, "_model").withColumnRenamed("entropy", "score")
 
     return _sweep(df, features, vector, [label], ks, score, parallelism, params)

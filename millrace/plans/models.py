@@ -35,8 +35,9 @@ class Fitted:
         return evaluate.class_metrics(self.predictions, self.label)
 
     def scored(self) -> DataFrame:
-        """Label, prediction and class probabilities of the test part."""
-        return self.predictions.select(self.label, "prediction", "probability")
+        """Label, prediction and, from a model that has them, class probabilities of the test part."""
+        found = self.predictions
+        return found.select(self.label, *[c for c in ("prediction", "probability") if c in found.columns])
 
     def confusion(self) -> DataFrame:
         """The confusion matrix of the test part, over all classes seen."""
@@ -54,6 +55,10 @@ class Fitted:
     def coefficients(self) -> DataFrame:
         return inspect.coefficients(self.test.sparkSession, self.model, self.features)
 
+    def nodes(self) -> DataFrame:
+        """The nodes of the fitted tree or trees."""
+        return inspect.tree_nodes(self.test.sparkSession, self.model, self.features)
+
     def params(self) -> DataFrame:
         return inspect.model_params(self.test.sparkSession, self.model)
 

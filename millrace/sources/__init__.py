@@ -13,12 +13,13 @@ from millrace.sources.loaders import (
     load_targets,
 )
 from millrace.sources.models import load_model, save_model
-from millrace.sources.tables import rows_like, scan_csv, write_csv
+from millrace.sources.tables import bad_apart, rows_like, scan_csv, write_csv
 
 __all__ = [
     "CONNECTION_COLUMNS",
     "COVER_GROUPS",
     "COVER_MEASURES",
+    "bad_apart",
     "cover_columns",
     "index_all",
     "index_target",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import cluster as ops
 from millrace.operators.counts import cluster_label_counts, largest_cluster_labels, weighted_entropy
-from millrace.plans.clustering import TIGHT, cluster, cost_sweep, entropy_sweep, k_means
+from millrace.plans.clustering import TIGHT, assigned_by_all, cluster, cost_sweep, entropy_sweep, k_means
 from millrace.plans.features import fit_connection_features, fit_scaled_features, numeric_features
 from millrace.plans.workflows import detect_anomalies
 
@@ -140,3 +140,32 @@ def test_largest_labels_of_each_cluster(spark):
     df = spark.createDataFrame([(0, "a")] * 3 + [(0, "b")] * 5 + [(1, "a")] * 2, "cluster int, label string")
     got = [tuple(r) for r in largest_cluster_labels(df, top=2).collect()]
     assert got == [(0, "b", 5), (0, "a", 3)]
+
+
+def test_all_models_of_a_sweep_are_scored_in_one_scan(mixed_net):
+    rows = fit_scaled_features(mixed_net.select("a", "b"), "").transform(mixed_net).select("scaledFeatures", "label").persist()
+    rows.count()
+    models = [k_means(k, "scaledFeatures").fit(rows) for k in (2, 5, 3)]
+    all_of = assigned_by_all(rows, models)
+    assert all_of._jdf.queryExecution().executedPlan().toString().count("InMemoryTableScan") == 1
+    assert all_of.count() == 3 * rows.count()
+    for i, model in enumerate(models):
+        alone = model.transform(rows).groupBy("cluster").count().collect()
+        assert sorted(map(tuple, alone)) == sorted(map(tuple, all_of.where(F.col("_model") == i).groupBy("cluster").count().collect()))
+
+
+def test_sweeps_score_as_single_models_do(mixed_net):
+    numbers = mixed_net.select("a", "b", "label")
+    features = fit_scaled_features(numbers, "label")
+    costs = {r.k: r.score for r in cost_sweep(numbers, features, [4, 2], "scaledFeatures").collect()}
+    mixed = {r.k: r.score for r in entropy_sweep(numbers, features, "label", [4, 2]).collect()}
+    for k in (2, 4):
+        one = cluster(numbers, features, k, "scaledFeatures")
+        assert costs[k] == pytest.approx(one.cost(numbers).first().cost, abs=1e-9)
+        assert mixed[k] == pytest.approx(one.entropy(numbers, "label").first().entropy, abs=1e-9)
+
+
+def test_a_sweep_of_one_k_twice(mixed_net):
+    numbers = mixed_net.select("a", "b")
+    rows = cost_sweep(numbers, numeric_features(numbers, ""), [3, 3]).collect()
+    assert [r.k for r in rows] == [3, 3] and rows[0].score == pytest.approx(rows[1].score)

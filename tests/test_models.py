@@ -169,3 +169,40 @@ def test_splits(spark):
         assert again.exceptAll(train).count() == 0
     a, b = random_split(df)
     assert a.count() + b.count() == 5000
+
+
+def _walk(nodes, row, names):
+    """The prediction of a tree given as rows, by walking it."""
+    at = nodes[0]
+    while at.left is not None:
+        x = row[at.feature]
+        goes_left = x <= at.threshold if at.threshold is not None else x in at.categories
+        at = nodes[at.left if goes_left else at.right]
+    return at.prediction
+
+
+def test_a_tree_as_rows_predicts_as_the_model(parts):
+    fitted = trees.decision_tree(*parts, "Outcome", NAMES)
+    nodes = {r.node: r for r in fitted.nodes().collect()}
+    assert sorted(nodes) == list(range(len(nodes))) and nodes[0].n == parts[0].count()
+    for r in nodes.values():
+        if r.left is None:
+            assert (r.feature, r.threshold, r.categories, r.right, r.gain) == (None,) * 5
+        else:
+            assert r.feature in NAMES and r.n == nodes[r.left].n + nodes[r.right].n and r.gain > 0
+    rows = fitted.predictions.collect()
+    assert all(_walk(nodes, r, NAMES) == r.prediction for r in rows)
+
+
+def test_nodes_of_forests_and_of_categories(parts, mixed_house):
+    forest = trees.random_forest_classifier(*parts, "Outcome", NAMES, numTrees=3, maxDepth=3)
+    assert {r.tree for r in forest.nodes().select("tree").distinct().collect()} == {0, 1, 2}
+    train, test = hash_split(mixed_house, ["Id"], 8)
+    values = trees.random_forest_regressor(train, test, "SalePrice", drop=["Id"], numTrees=1, maxDepth=4)
+    splits = values.nodes().where("left IS NOT NULL")
+    assert splits.where("(threshold IS NULL) = (categories IS NULL)").isEmpty() and not splits.isEmpty()
+
+
+def test_scored_rows_without_probabilities(linear_target):
+    fitted = regression.linear_regression(linear_target, linear_target, "y", drop=["id"])
+    assert fitted.scored().columns == ["y", "prediction"]

@@ -6,6 +6,7 @@ from millrace.operators.rank import preview
 from millrace.session import cut_lineage, held, laid_out, shared_dir, shared_path
 from millrace.sources import (
     CONNECTION_COLUMNS,
+    bad_apart,
     cover_columns,
     load_binary_numeric,
     load_categories,
@@ -13,6 +14,7 @@ from millrace.sources import (
     load_cover,
     load_mixed,
     load_targets,
+    rows_like,
     scan_csv,
     write_csv,
 )
@@ -96,3 +98,38 @@ def test_layout_does_not_follow_the_splits(spark):
         for df in (rows.coalesce(1), rows.repartition(9), rows.repartition(4, "x"))
     ]
     assert layouts[0] == layouts[1] == layouts[2] and {r.p for r in layouts[0]} == set(range(6))
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_bad_records_are_kept_apart(spark, header):
+    lines = ["1,a,1.5", "x2,b,2.5", "3,c", "4,d,4.5,more", "5,,", "6,f,zero"]
+    path = shared_path(spark, "t")
+    spark.createDataFrame([(t,) for t in (["id,name,x"] if header else []) + lines], "value string").coalesce(1).write.text(path)
+    df = scan_csv(spark, path, header=header, schema="id int, name string, x double", bad_records="line")
+    assert df.columns == ["id", "name", "x", "line"]
+    good, bad = bad_apart(df, "line")
+    assert sorted(map(tuple, good.collect())) == [(1, "a", 1.5), (5, None, None)]
+    assert sorted(r.line for r in bad.select("line").collect()) == sorted([lines[1], lines[2], lines[3], lines[5]])
+    # the same lines are bad whichever columns are read
+    assert (good.count(), bad.count()) == (2, 4) and good.select("name").count() == 2
+    assert {r.name for r in bad.collect()} == {"b", "c", "d", "f"}
+
+
+def test_bad_records_need_a_schema_and_a_free_name(spark):
+    with pytest.raises(ValueError, match="schema"):
+        scan_csv(spark, "nowhere", bad_records="line")
+    with pytest.raises(ValueError, match="line"):
+        scan_csv(spark, "nowhere", schema="line string", bad_records="line")
+
+
+def test_no_bad_records(spark, blobs_outliers):
+    path = write_csv(blobs_outliers, shared_path(spark, "t"), header=False)
+    df = scan_csv(spark, path, header=False, schema=blobs_outliers.schema, names=["i", "p", "q", "c"], bad_records="line")
+    good, bad = bad_apart(df, "line")
+    assert bad.isEmpty() and good.columns == ["i", "p", "q", "c"] and good.count() == 305
+
+
+def test_rows_for_scoring_have_the_types_of_the_table(spark, blobs_outliers):
+    rows = rows_like(spark, [(1, 2.0)], blobs_outliers, ["id", "x"])
+    assert rows.dtypes == [("id", "bigint"), ("x", "double")] and rows.collect() == [(1, 2.0)]
+    assert rows_like(spark, [], blobs_outliers, ["label"]).dtypes == [("label", "string")]
