@@ -259,6 +259,21 @@ def kmeans_two_groups_cost(spark, sf_dir):
     return rounded(cost_sweep(lines, numeric_features(lines, ""), [2], **TIGHT), "score")
 
 
+@query(
+    "rows_with_centers",
+    f"""
+WITH {_WIDE_GROUPS}
+SELECT l_orderkey, status, round(price_mean, 6) AS price_mean, round(quantity_mean, 6) AS quantity_mean,
+       round(dist, 6) AS dist FROM a
+""",
+)
+def rows_with_centers(spark, sf_dir):
+    lines = line_rows(spark, sf_dir, "l_orderkey", *exprs(_WIDE))
+    found = cluster(lines, numeric_features(lines, "", ["l_orderkey"]), k=2, **TIGHT).distances(lines, "center")
+    slots = [F.col("center")[i].alias(f"{name}_mean") for i, name in enumerate(_WIDE) if name != "status"]
+    return rounded(found.select("l_orderkey", "status", *slots, "dist"), "price_mean", "quantity_mean", "dist")
+
+
 @query(
     "anomalies_two_groups",
     f"""

@@ -147,6 +147,48 @@ def decision_tree_tuned(spark, sf_dir):
     return rounded(fitted.train_test_accuracy(), "accuracy")
 
 
+def _sides_of(name: str, where: str) -> str:
+    """Every row once for each 0/1 feature."""
+    parts = [f"SELECT '{c}' AS feature, {c} AS v, label FROM base WHERE {where}" for c in BINARY]
+    return f"{name} AS ({' UNION ALL '.join(parts)})"
+
+
+# All 16 points: the number of bins changes nothing for 0/1 columns, a depth of 1 is the best single
+# split by the impurity, and a gain of 0.05 is never reached.
+@query(
+    "tree_grid_report",
+    f"""
+WITH {_base_sql(FLAG_CODE, BINARY)},
+{_majority_sql("cells", BINARY, "bucket < 9 AND inner_bucket < 9")},
+whole AS (SELECT label AS prediction FROM base WHERE bucket < 9 AND inner_bucket < 9
+          GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+{_sides_of("t", "bucket < 9 AND inner_bucket < 9")}, {_sides_of("h", "bucket < 9 AND inner_bucket >= 9")},
+n AS (SELECT feature, v, label, CAST(count(*) AS DOUBLE) AS n FROM t GROUP BY 1, 2, 3),
+s AS (SELECT *, sum(n) OVER (PARTITION BY feature, v) AS side,
+             row_number() OVER (PARTITION BY feature, v ORDER BY n DESC, label) AS rn FROM n),
+pure AS (SELECT feature, sum(n * n / side) AS gini, sum(n * ln(n / side)) AS entropy FROM s GROUP BY 1),
+pick AS (SELECT 'gini' AS impurity, arg_max(feature, gini) AS feature FROM pure
+         UNION ALL SELECT 'entropy', arg_max(feature, entropy) FROM pure),
+one AS (SELECT impurity, avg(CAST(h.label = s.label AS DOUBLE)) AS split_score
+        FROM pick JOIN h USING (feature) JOIN s ON s.feature = h.feature AND s.v = h.v AND s.rn = 1 GROUP BY 1),
+deep AS (SELECT avg(CAST(base.label = cells.prediction AS DOUBLE)) AS deep_score,
+                avg(CAST(base.label = whole.prediction AS DOUBLE)) AS flat_score
+         FROM base JOIN cells USING ({_F}), whole WHERE bucket < 9 AND inner_bucket >= 9),
+r AS (
+  SELECT 'impurity=' || one.impurity || ', maxBins=' || b.bins || ', maxDepth=' || d.depth || ', minInfoGain=' || g.gain AS params,
+         round(CASE WHEN g.gain <> '0.0' THEN flat_score WHEN d.depth = 1 THEN split_score ELSE deep_score END, 6) AS metric
+  FROM one, deep, (SELECT unnest([40, 300]) AS bins) b, (SELECT unnest([1, 20]) AS depth) d,
+       (SELECT unnest(['0.0', '0.05']) AS gain) g)
+SELECT CAST(row_number() OVER (ORDER BY metric DESC, params) AS INT) AS "rank", metric, params FROM r
+""",
+)
+def tree_grid_report(spark, sf_dir):
+    """Every point of the tree grid by its score; the first one is the one taken."""
+    train, test = _split(spark, sf_dir, _KEYS | _FLAG_COLUMNS)
+    _, tuned = trees.tuned_decision_tree(train, test, "label", LINE)
+    return rounded(inspect.grid_report(spark, tuned.scores, tuned.grid), "metric")
+
+
 _GROUPED = {"line": "l_linenumber", "is_open": BINARY["is_open"], "qty_high": BINARY["qty_high"]}
 
 

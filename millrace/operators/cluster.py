@@ -108,11 +108,15 @@ def join_centers(df: DataFrame, centers: DataFrame, cluster: str = "cluster", na
 
 
 def distance_to_center(
-    df: DataFrame, centers: DataFrame, vector: str, cluster: str = "cluster", name: str = "dist"
+    df: DataFrame, centers: DataFrame, vector: str, cluster: str = "cluster", name: str = "dist", center: str | None = None
 ) -> DataFrame:
-    """Add the squared distance of each row to the center of its own cluster, null where that has none."""
+    """Add the squared distance of each row to the center of its own cluster, null where that has none.
+
+    `center` names a column for that center itself.
+    """
     joined = join_centers(df, centers, cluster, "_own_center")
-    return joined.select(*df.columns, squared_distance(F.col(vector), F.col("_own_center")).alias(name))
+    own = [F.col("_own_center").alias(center)] if center else []
+    return joined.select(*df.columns, *own, squared_distance(F.col(vector), F.col("_own_center")).alias(name))
 
 
 def mean_cost(df: DataFrame, dist: str = "dist") -> DataFrame:

@@ -48,10 +48,10 @@ class Clusters:
     def centers(self, spark) -> DataFrame:
         return center_table(spark, self.model)
 
-    def distances(self, df: DataFrame) -> DataFrame:
-        """The input columns, the cluster and the squared distance to its center."""
+    def distances(self, df: DataFrame, center: str | None = None) -> DataFrame:
+        """The input columns, the cluster, its center if a name is given for it, and the squared distance to it."""
         rows = self._predict(df).select(*df.columns, "cluster", vector_to_array(self.vector).alias("_v"))
-        far = distance_to_center(rows, self.centers(df.sparkSession), "_v")
+        far = distance_to_center(rows, self.centers(df.sparkSession), "_v", center=center)
         return far.drop("_v")
 
     def cost(self, df: DataFrame) -> DataFrame:

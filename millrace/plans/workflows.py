@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from millrace.operators.encode import feature_columns
 from millrace.operators.split import hash_split
+from millrace.plans.boosting import gbt_regressor
 from millrace.plans.clustering import ANOMALY_K, ANOMALY_TOP, TIGHT, Clusters, cluster
 from millrace.plans.features import fit_connection_features
 from millrace.plans.models import Fitted
@@ -44,7 +45,8 @@ def detect_anomalies(
     return found, found.anomalies(df, top)
 
 
-def predict_values(df: DataFrame, label: str = "SalePrice", key: str = "Id", **params) -> Fitted:
-    """Split 9 to 1, index the training part's categories, regression forest."""
+def predict_values(df: DataFrame, label: str = "SalePrice", key: str = "Id", boosted: bool = False, **params) -> Fitted:
+    """Split 9 to 1, index the training part's categories, regression forest or boosted trees."""
     train, test = hash_split(df, [key])
-    return random_forest_regressor(train, test, label, drop=[key], **params)
+    model = gbt_regressor if boosted else random_forest_regressor
+    return model(train, test, label, drop=[key], **params)

@@ -169,3 +169,13 @@ def test_a_sweep_of_one_k_twice(mixed_net):
     numbers = mixed_net.select("a", "b")
     rows = cost_sweep(numbers, numeric_features(numbers, ""), [3, 3]).collect()
     assert [r.k for r in rows] == [3, 3] and rows[0].score == pytest.approx(rows[1].score)
+
+
+def test_rows_carry_their_own_center(blobs_outliers):
+    found = cluster(blobs_outliers, numeric_features(blobs_outliers, "label", ["id"]), 3)
+    centers = found.model.clusterCenters()
+    rows = found.distances(blobs_outliers, "center").collect()
+    assert len(rows) == 305
+    for r in rows:
+        assert r.center == pytest.approx(list(centers[r.cluster]))
+        assert r.dist == pytest.approx((r.x - r.center[0]) ** 2 + (r.y - r.center[1]) ** 2)

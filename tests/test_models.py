@@ -157,6 +157,12 @@ def test_predict_values_workflow(mixed_house):
     assert _metrics(fitted.value_metrics())["r2"] > 0.8
 
 
+def test_predict_values_with_boosted_trees(mixed_house):
+    fitted = predict_values(mixed_house, boosted=True, maxIter=3, maxDepth=6)
+    assert type(inspect.last_stage(fitted.model)).__name__ == "GBTRegressionModel"
+    assert _metrics(fitted.value_metrics())["r2"] > 0.8
+
+
 def test_splits(spark):
     df = spark.range(5000)
     for keys in (["id"], Keys(("id",), portable=True)):
