@@ -15,10 +15,13 @@ other. Where the edit is possible, nodes have few children.
 
 An edge also carries a signature of all that follows it, some bits set by the
 hashes of the rests of the words below. A state with an edit whose own rest has
-left no bit there can never end on a word, and goes at once.
+left no bit there can never end on a word, and goes at once. Where one word only
+lies below, the edge has its rest's hash and its id: a state with an edit ends
+there, as a neighbour or not at all, and the trie's unbranched ends are not
+walked with it.
 
-Nodes are numbered by hash; a collision can only add a state, and neighbours are
-compared as texts at the end.
+Nodes and words are numbered by hash; a collision can only add a state or a pair,
+and neighbours are compared as texts at the end.
 
 The number of rounds is that of the longest word. Words of more than LEVELS code
 points would need one for each; they meet by the hash of the rest that is left
@@ -83,50 +86,62 @@ def _start() -> Column:
 
 
 def _both_sides(words: DataFrame) -> DataFrame:
-    """(side, word): every word for the first trie, and reversed for the second."""
+    """(side, word, id): every word for the first trie, and reversed for the second; id is the hash of the word as it is."""
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("word")), F.struct(F.lit(1).alias("side"), F.reverse("word").alias("word")))
-    return words.select(F.explode(sides).alias("s")).select("s.*")
+    return words.select(F.explode(sides).alias("s"), _id("word").alias("id")).select("s.*", "id")
+
+
+def _id(word: str) -> Column:
+    return F.xxhash64(word)
+
+
+def _rest(position: Column) -> Column:
+    """The hash of what is left of a word from a place on."""
+    return F.xxhash64(F.substring("word", position + 1, F.length("word")))
 
 
 # Bits of the mark a text leaves in the signature of a node, in so many longs.
 _SIGNATURE = 2
+# What an edge says of the words below it: signature, least and largest hash of their rests, id of the last of them.
+_BELOW = [*[f"s{k}" for k in range(_SIGNATURE)], "low", "high", "leaf"]
 
 
-def _mark(rest: Column) -> list[Column]:
-    """The signature of one text: a bit of one of the longs."""
-    h = F.xxhash64(rest)
+def _mark(h: Column) -> list[Column]:
+    """The signature of one text, given its hash: a bit of one of the longs."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     of = F.pmod(F.shiftright(h, 6), F.lit(_SIGNATURE))
     return [F.when(of == k, bit).otherwise(F.lit(0).cast("long")) for k in range(_SIGNATURE)]
 
 
-def _may_follow(rest: Column) -> Column:
-    """Whether the signature (s0, s1, ...) of what follows a node holds the text's mark."""
-    h = F.xxhash64(rest)
+def _may_follow(h: Column) -> Column:
+    """Whether a rest may follow the node: of one word it must be the rest itself, of several one that left the same bit."""
     of = F.pmod(F.shiftright(h, 6), F.lit(_SIGNATURE))
     signature = F.col("s0")
     for k in range(1, _SIGNATURE):
         signature = F.when(of == k, F.col(f"s{k}")).otherwise(signature)
-    return F.call_function("getbit", signature, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+    marked = F.call_function("getbit", signature, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return F.when(F.col("low") == F.col("high"), h == F.col("low")).otherwise(marked)
 
 
 def _edges(sided: DataFrame, start: int) -> DataFrame:
     """(level, node, char, child) of both tries, from the level `start` on.
 
-    child_word is there where a word ends on the child; s0, s1, ... are the
-    signature of all that follows the child.
+    child_word is the id of the word that ends on the child, if one does; the
+    columns of _BELOW speak of all that follows the child.
     """
-    steps = sided.select("side", "word", F.explode(F.sequence(F.lit(start), F.length("word") - 1)).alias("level"))
+    steps = sided.select("side", "word", "id", F.explode(F.sequence(F.lit(start), F.length("word") - 1)).alias("level"))
     steps = steps.select(
         "level",
         _node("side", _prefix("word", F.col("level"))).alias("node"),
         _char("word", "level").alias("char"),
         _node("side", _prefix("word", F.col("level") + 1)).alias("child"),
-        F.when(F.col("level") == F.length("word") - 1, F.col("word")).alias("child_word"),
-        *[m.alias(f"m{k}") for k, m in enumerate(_mark(F.substring("word", F.col("level") + 2, F.length("word"))))],
+        F.when(F.col("level") == F.length("word") - 1, F.col("id")).alias("child_word"),
+        "id",
+        _rest(F.col("level") + 1).alias("h"),
     )
-    signature = [F.bit_or(f"m{k}").alias(f"s{k}") for k in range(_SIGNATURE)]
-    return steps.groupBy("level", "node", "char", "child").agg(F.max("child_word").alias("child_word"), *signature)
+    signature = [F.bit_or(m).alias(f"s{k}") for k, m in enumerate(_mark(F.col("h")))]
+    below = [F.min("h").alias("low"), F.max("h").alias("high"), F.max("id").alias("leaf")]
+    return steps.groupBy("level", "node", "char", "child").agg(F.max("child_word").alias("child_word"), *signature, *below)
 
 
 def _skipped(states: DataFrame) -> DataFrame:
@@ -135,35 +150,40 @@ def _skipped(states: DataFrame) -> DataFrame:
     # of a run of equal code points only the first after the start: to leave out another of them is the same
     again = _char("word", "position") == F.substring("word", F.col("position"), F.lit(1))
     free = free.filter((F.col("position") == _start()) | ~again)
-    skipped = free.select("side", "word", (F.col("position") + 1).alias("position"), "node", "node_word", F.lit(1).alias("edits"))
-    return states.select("side", "word", "position", "node", "node_word", "edits").unionByName(skipped)
+    skipped = free.select("side", "word", (F.col("position") + 1).alias("position"), "node", F.lit(1).alias("edits"))
+    return states.unionByName(skipped)
 
 
 def _advanced(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states one level on; of those with an edit the ones whose rest may follow."""
-    signature = [f"s{k}" for k in range(_SIGNATURE)]
-    edges = edges.select(F.col("node").alias("at"), "char", "child", "child_word", *signature)
-    nxt = _char("word", "position")
-    one = states.filter("edits = 1 AND position < length(word)").withColumn("next", nxt)
-    one = one.join(edges, (F.col("node") == F.col("at")) & (F.col("next") == F.col("char")))
-    one = one.select("side", "word", (F.col("position") + 1).alias("position"), F.col("child").alias("node"), F.col("child_word").alias("node_word"), "edits", *signature)
-    none = states.filter("edits = 0").withColumn("next", nxt).join(edges, F.col("node") == F.col("at"))
-    # read, replace, or take the child's code point as one more
-    rest = lambda position: F.substring("word", position + 1, F.length("word"))
+    """The states one level on; of those with an edit the ones whose rest may follow.
+
+    near is the id of the word that a state with an edit ends on: the only one
+    below its node, whose rest is its own, or the one that ends there with it.
+    """
+    edges = edges.select(F.col("node").alias("at"), "char", "child", "child_word", *_BELOW)
     here, after = F.col("position"), F.col("position") + 1
-    same, ended = F.col("next") == F.col("char"), F.col("next") == ""
-    none = none.withColumn("replaced", ~same & ~ended & _may_follow(rest(after))).withColumn("inserted", ~same & _may_follow(rest(here)))
-    none = none.filter(same | F.col("replaced") | F.col("inserted"))
+    # hashes of rests are taken before the join, which gives a state a row for every child
+    states = states.filter("edits = 0 OR position < length(word)").select(
+        "side", "word", "position", "node", "edits", _char("word", "position").alias("next"), _rest(here).alias("h_here"), _rest(after).alias("h_after")
+    )
+    met = states.join(edges, (F.col("node") == F.col("at")) & ((F.col("edits") == 0) | (F.col("next") == F.col("char"))))
+    free, same, ended = F.col("edits") == 0, F.col("next") == F.col("char"), F.col("next") == ""
+    # read, replace, or take the child's code point as one more
+    read = free & same
+    on = (~free | (~same & ~ended)) & _may_follow(F.col("h_after"))
+    met = met.withColumn("read", read).withColumn("on", on).withColumn("inserted", free & ~same & _may_follow(F.col("h_here")))
+    met = met.filter("read OR on OR inserted")
     step = lambda position, edits: F.struct(position.alias("position"), F.lit(edits).alias("edits"))
     moves = (
-        F.when(same, F.array(step(after, 0)))
-        .when(~F.col("replaced"), F.array(step(here, 1)))
+        F.when(F.col("read"), F.array(step(after, 0)))
+        .when(~F.col("on"), F.array(step(here, 1)))
         .when(~F.col("inserted"), F.array(step(after, 1)))
         .otherwise(F.array(step(after, 1), step(here, 1)))
     )
-    none = none.select("side", "word", F.col("child").alias("node"), F.col("child_word").alias("node_word"), F.explode(moves).alias("m"))
-    one = one.filter(_may_follow(rest(here))).drop(*signature)
-    return one.unionByName(none.select("side", "word", "m.position", "node", "node_word", "m.edits"))
+    met = met.select("side", "word", F.col("child").alias("node"), "child_word", "low", "high", "leaf", F.explode(moves).alias("m"))
+    met = met.select("side", "word", "m.position", "node", "m.edits", "child_word", "low", "high", "leaf")
+    near = F.when(F.col("low") == F.col("high"), F.col("leaf")).when(F.col("position") == F.length("word"), F.col("child_word"))
+    return met.select("side", "word", "position", "node", "edits", F.when(F.col("edits") == 1, near).alias("near"))
 
 
 def _walk(words: DataFrame) -> DataFrame:
@@ -176,26 +196,25 @@ def _walk(words: DataFrame) -> DataFrame:
     edges = written(_edges(sided, start).sortWithinPartitions("level"), "spelling-edges")
     # every word at the node of its own first half
     half = _start()
-    starts = sided.select(
-        "side", "word", half.alias("position"), _node("side", _prefix("word", half)).alias("node"), F.lit(None).cast("string").alias("node_word"),
-        F.lit(0).alias("edits"),
-    )
+    starts = sided.select("side", "word", half.alias("position"), _node("side", _prefix("word", half)).alias("node"), F.lit(0).alias("edits"))
     starts = written(starts.sortWithinPartitions("position"), "spelling-starts")
     frontier, found = starts.limit(0), []
     for level in range(start, deepest + 2):
         frontier = frontier.unionByName(starts.filter(F.col("position") == level))
-        frontier = written(_advanced(_skipped(frontier), edges.filter(F.col("level") == level)), f"spelling-{level}")
-        ended = frontier.filter("edits = 1 AND position = length(word) AND node_word IS NOT NULL")
-        found.append(ended.select("side", "word", F.col("node_word").alias("near")))
+        moved = written(_advanced(_skipped(frontier), edges.filter(F.col("level") == level)), f"spelling-{level}")
+        found.append(moved.filter("near IS NOT NULL").select("side", "word", "near"))
+        frontier = moved.filter("near IS NULL AND (edits = 0 OR position < length(word))").drop("near")
     # a word without its last code point ends on the node where it started, or passed without an edit
     last = sided.select("side", "word", _node("side", _prefix("word", F.length("word") - 1)).alias("node"))
-    ends = sided.select(F.col("word").alias("near"), _node("side", F.col("word")).alias("at"))
+    ends = sided.select(F.col("id").alias("near"), _node("side", F.col("word")).alias("at"))
     found.append(last.join(ends, F.col("node") == F.col("at")).select("side", "word", "near"))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    turn = lambda c: F.when(F.col("side") == 1, F.reverse(c)).otherwise(F.col(c)).alias(c)
-    return pairs.select(turn("word"), turn("near"))
+    pairs = pairs.select(F.when(F.col("side") == 1, F.reverse("word")).otherwise(F.col("word")).alias("word"), F.col("near").alias("of"))
+    texts = words.select(_id("word").alias("id"), F.col("word").alias("near"))
+    # rows that are equal meet by `of` already, so that taking them together needs no further shuffle
+    return pairs.join(texts, F.col("of") == F.col("id")).select("word", "of", "near").distinct().select("word", "near")
 
 
 def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,12 +269,12 @@ def near_words(words: DataFrame, *, levels: int = LEVELS) -> DataFrame:
     """(word, near): all pairs of distinct words of the column `word` that are one edit apart, both ways round."""
     words = written(words.select("word").filter("word <> ''").distinct(), "spelling-distinct")
     short = words.filter(F.length("word") <= levels)
-    pairs = _walk(short)
+    pairs = _walk(short).filter(_one_apart("word", "near"))
     # the two kinds overlap by one length, so that pairs across the bound are found
     long = words.filter(F.length("word") >= levels)
     if not words.filter(F.length("word") > levels).isEmpty():
-        pairs = pairs.unionByName(_long_pairs(long))
-    return pairs.distinct().filter(_one_apart("word", "near"))
+        pairs = pairs.unionByName(_long_pairs(long).filter(_one_apart("word", "near"))).distinct()
+    return pairs
 
 
 def _roots(forms: DataFrame) -> DataFrame:
