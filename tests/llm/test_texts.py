@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -340,3 +341,41 @@ def test_pipeline_stage(spark, sf_dir, stage):
         good = [i for i, r in labels.items() if r.quality]
         assert np.mean([i in kept for i in good]) > 0.97
     assert run(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def _names_by_rules(found):
+    """Names of a list of identifiers: each rule in turn takes all its runs, which no later rule may use."""
+    left, names = list(found), []
+    for run, name in licenses.RULES:
+        run, k = run.split(), 0
+        while k + len(run) <= len(left):
+            if left[k : k + len(run)] == run:
+                left[k : k + len(run)] = [None]
+                if name not in names:
+                    names.append(name)
+            k += 1
+    return " ".join(names)
+
+
+def test_planted_licenses_are_found_however_they_are_wrapped(spark):
+    rng = random.Random(9)
+    known, rows, wanted = list(licenses.SENTENCES), [], {}
+    for doc in range(300):
+        parts, found = [], []
+        for _ in range(rng.randint(0, 7)):
+            sentence = rng.choice(known) if rng.random() < 0.7 else "some filler words " * rng.randint(1, 30)
+            if sentence in licenses.SENTENCES:
+                found.append(licenses.SENTENCES[sentence])
+            sentence = rng.choice([str, str.upper, str.capitalize])(sentence).strip()
+            sign, end = rng.choice(["", "# ", " * ", "// "]), rng.choice(["", ".", ";"])
+            parts.append("\n".join(sign + line for line in textwrap.wrap(sentence, rng.randint(12, 90), break_long_words=False)) + end)
+        rows.append((doc, "\n\n".join(parts)))
+        wanted[doc] = (" ".join(found), _names_by_rules(found), len(found))
+    rows.append((300, "filler " * 400_000 + "\n" + known[0]))
+    wanted[300] = (licenses.SENTENCES[known[0]], _names_by_rules([licenses.SENTENCES[known[0]]]), 1)
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.identifiers, r.licenses, r.n_sentences) for r in got} == wanted
+
+
+def test_license_scan_of_an_empty_table(spark):
+    assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).collect() == []
