@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from millrace.catalog.base import partitions_for
 from millrace.operators import cluster as ops
 from millrace.operators.counts import cluster_label_counts, largest_cluster_labels, weighted_entropy
 from millrace.plans.clustering import TIGHT, assigned_by_all, cluster, cost_sweep, entropy_sweep, k_means
@@ -179,3 +180,14 @@ def test_rows_carry_their_own_center(blobs_outliers):
     for r in rows:
         assert r.center == pytest.approx(list(centers[r.cluster]))
         assert r.dist == pytest.approx((r.x - r.center[0]) ** 2 + (r.y - r.center[1]) ** 2)
+
+
+def test_a_larger_fit_does_not_take_as_many_more_tasks():
+    """Each partition is a task or two in every step, and each task reports to the driver."""
+    assert partitions_for(1) == 1 and partitions_for(60_000) == 2
+    assert partitions_for(36_000_000) == partitions_for(3_600_000) == 48
+    assert partitions_for(216_000_000) <= 6 * 48
+
+
+def test_blocks_of_a_fit_stay_in_the_cache_of_a_core():
+    assert k_means(100, "features").getMaxBlockSizeInMB() <= 0.02
