@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are worked on in slices of about so many bytes, whatever the batch holds.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _U = np.uint64
 _rng = np.random.default_rng(20240611)

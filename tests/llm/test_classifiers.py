@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -136,3 +137,18 @@ def test_queries_reach_held_out_accuracy(spark, sf_dir):
     assert not any(r.predicted for r in tox if not labels[r.doc_id].toxic)
     good = [r for r in op8(spark, sf_dir).collect() if r.held_out and r.doc_id in labels]
     assert np.mean([r.predicted == labels[r.doc_id].quality for r in good]) > 0.95
+
+
+def test_figures_of_a_large_batch_take_little_memory(monkeypatch):
+    words = ["alpha", "Beta", "12,5", "gamma.\n", "delta!", "é"]
+    column = pa.array([" ".join(words[(i * k) % 6] for k in range(1, 400)) for i in range(2000)])
+    assert column.nbytes > 3 << 20
+    quality.figures(column[:10])
+    tracemalloc.start()
+    whole = quality.figures(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # a worker's arrays follow the slice, which is a quarter of a megabyte, and not the batch
+    assert peak < 48 << 20
+    monkeypatch.setattr(quality.kernels, "SLICE_BYTES", 1 << 12)
+    assert np.array_equal(whole, quality.figures(column))
