@@ -65,13 +65,14 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _shingles(words: Column, size: int) -> Column:
     """Shingles of a list of words, as hashes; a shorter list is one shingle."""
 
-    def of(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - size, F.lit(0)))
+    def of(h: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(h) - size, F.lit(0)))
         # single elements, as slice() goes over the whole list; past its end they are null and not hashed
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
 
-    # bound as a variable: the optimizer would else put the split into words inside the function
-    return F.transform(F.array(words), of)[0]
+    # every word is hashed once and not once per shingle; bound as a variable: the optimizer would else put
+    # the split into words inside the function
+    return F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), of)[0]
 
 
 def _tokens(words: Column, size: int) -> Column:
@@ -122,7 +123,6 @@ def find_repeated_lines(docs: DataFrame, *, words: int = 5, percent: int = 75) -
     `docs` has doc_id, version and text as _placed() gives them; place is
     version * 2^32 + line number from 0.
     """
-    lines = _lines(docs)
     copies = written(_cut(docs).select("doc_id", "place", F.xxhash64("line").alias("digest")), "lines-digests")
     firsts = copies.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
     firsts = written(firsts.select(F.col("digest").alias("of"), F.col("first.doc_id").alias("doc2"), F.col("first.place").alias("place2"), "copies"), "lines-firsts")
@@ -134,10 +134,10 @@ def find_repeated_lines(docs: DataFrame, *, words: int = 5, percent: int = 75) -
     here = F.col("doc_id").eqNullSafe(F.col("gone")) & (F.col("place") == F.col("gone_at"))
     few = again.count() * 96 <= BROADCAST_BYTES
     # of lines with fewer words all are one shingle, which only copies share
-    fresh = lines.filter(F.size("w") >= words)
+    fresh = _cut(docs).filter(F.substring_index("line", " ", words - 1) != F.col("line"))
     if few:  # copies need not be looked at again; else they go once the rows are small
         fresh = fresh.join(F.broadcast(gone), here, "left_anti")
-    fresh = fresh.select("doc_id", "place", F.sort_array(_tokens(F.col("w"), words)).alias("t")).withColumn("n", F.size("t"))
+    fresh = fresh.select("doc_id", "place", F.sort_array(_tokens(F.split("line", " "), words)).alias("t")).withColumn("n", F.size("t"))
     # of l tokens more, l must meet: of a match at least as many as the shorter line has, which is 0.75 of this one or more
     prefix = F.slice("t", 1, F.expr(f"n - ({percent} * n + 99) DIV 100 + 1 + n DIV {_MORE}"))
     met = fresh.select("doc_id", "place", "n", F.explode(prefix).alias("token"))
