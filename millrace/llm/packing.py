@@ -24,6 +24,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from millrace.llm import kernels
 
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 _WORDS_KEPT = 400_000
+_WORDS_JOINED = 500
 
 
 @lru_cache(1)
@@ -96,6 +98,25 @@ def word_starts(points: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+def _with(kept: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """An array whose first `used` values are kept and go on with more; what is spare grows with it."""
+    if used + len(more) > len(kept):
+        kept = np.concatenate([kept[:used], np.empty(used // 4 + len(more), kept.dtype)])
+    kept[used : used + len(more)] = more
+    return kept
+
+
+def _merged(keys: np.ndarray, values: np.ndarray, more: np.ndarray, of_more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with more sorted ones among them, and the values of all."""
+    at = np.searchsorted(keys, more) + np.arange(len(more))
+    old = np.ones(len(keys) + len(more), bool)
+    old[at] = False
+    out, of_out = np.empty(len(old), keys.dtype), np.empty(len(old), values.dtype)
+    out[at], of_out[at] = more, of_more
+    out[old], of_out[old] = keys, values
+    return out, of_out
+
+
 class Encoder:
     """Ids of texts under a tokenizer file, and one id at every text's end, if one is given.
 
@@ -114,6 +135,7 @@ class Encoder:
             raise ValueError("added tokens that take in what is around them are not supported")
         texts = sorted((t.content for t in added), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, texts))) if texts else None
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.end_id = end_id
         self._forget()
 
@@ -125,22 +147,60 @@ class Encoder:
         return np.array(spans, np.int64).reshape(-1, 2)
 
     def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # sorted word hashes
-        self.start = np.zeros(0, np.int64)
+        self.known = np.zeros(0, np.uint64)  # sorted word hashes, and the word of each
+        self.word = np.zeros(0, np.int64)
+        self.fresh, self.fresh_word = self.known, self.word  # the same of the last words, until they are enough to be merged in
+        self.start = np.zeros(0, np.int64)  # by word
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.words = self.size = 0  # how much of the last three is in use
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts end to end, and their number for each."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
-        start = len(self.ids) + np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, np.fromiter((i for row in ids for i in row), np.uint32, int(count.sum()))])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known)
-        self.known = known[order]
-        self.start = np.concatenate([self.start, start])[order]
-        self.count = np.concatenate([self.count, count])[order]
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())), count
+
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that do not end in white space, some hundred to a text, each with a line's end after it.
+
+        The splitter parts the line's end from words on either side.
+        """
+        lines = ["\n".join([*texts[k : k + _WORDS_JOINED], ""]) for k in range(0, len(texts), _WORDS_JOINED)]
+        ids, _ = self._alone(lines)
+        if len(self.line_end) == 1:
+            ends = np.flatnonzero(ids == self.line_end[0])
+            if len(ends) == len(texts):
+                return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        return self._alone(texts)
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> np.ndarray:
+        """The numbers given to new words."""
+        white = np.fromiter((t[-1].isspace() for t in texts), bool, len(texts))
+        order = np.argsort(white, kind="stable")
+        rows = int(len(texts) - white.sum())
+        parts = [self._joined([texts[k] for k in order[:rows].tolist()]), self._alone([texts[k] for k in order[rows:].tolist()])]
+        ids, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        number = np.empty(len(texts), np.int64)
+        number[order] = self.words + np.arange(len(texts))
+        self.ids = _with(self.ids, self.size, ids)
+        self.start = _with(self.start, self.words, self.size + np.cumsum(count) - count)
+        self.count = _with(self.count, self.words, count)
+        self.words, self.size = self.words + len(texts), self.size + len(ids)
+        self.fresh, self.fresh_word = _merged(self.fresh, self.fresh_word, hashes, number)
+        if len(self.fresh) * 4 > len(self.known):
+            self.known, self.word = _merged(self.known, self.word, self.fresh, self.fresh_word)
+            self.fresh, self.fresh_word = self.fresh[:0], self.fresh_word[:0]
+        return number
+
+    def _numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of words, -1 of new ones."""
+        out = np.full(len(hashes), -1, np.int64)
+        for known, word in ((self.known, self.word), (self.fresh, self.fresh_word)):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                out = np.where(known[at] == hashes, word[at], out)
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin."""
@@ -160,15 +220,15 @@ class Encoder:
         np.cumsum(kernels.mix(points.astype(np.uint64) + np.uint64(1)) * power[: len(points)], out=total[1:])
         hashes = kernels.mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
         unique, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, unique)
-        at[at == len(self.known)] = 0
-        new = np.ones(len(unique), bool) if not len(self.known) else self.known[at] != unique
-        if len(self.known) + new.sum() > _WORDS_KEPT and len(self.known):
+        number = self._numbers(unique)
+        new = number < 0
+        if self.words + new.sum() > _WORDS_KEPT and self.words:
             self._forget()
             new[:] = True
         if new.any():
-            self._learn(unique[new], [text[starts[e] : ends[e]] for e in example[new]])
-        slot = np.searchsorted(self.known, unique)[which]
+            at = example[new]
+            number[new] = self._learn(unique[new], [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        slot = number[which]
         count = self.count[slot]
         # one more entry per text for its last id
         closed = int(self.end_id is not None)

@@ -48,6 +48,48 @@ def test_packing_encodes_as_the_tokenizer_does(plain):
     assert got == [e.ids + [0] for e in own.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_new_words_go_to_the_tokenizer_together():
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokenizer_path(TOKENIZER))
+    encoder = packing.Encoder(tokenizer_path(TOKENIZER), 0)
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return own.encode_batch_fast(texts, **more)
+
+    encoder.tokenizer = Counting()
+    texts = [f"w{k}x it's {k}\n\u2028 \x85 \x1c'{k}ll \xa0" for k in range(3000)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    sizes = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    for size in (1000, 1, 1500, 499):  # the words of a slice are known in the next ones
+        for a in range(0, len(texts), size) if size > 1 else range(5):
+            b = min(a + size, len(texts))
+            ids, first = encoder.encode(data[sizes[a] : sizes[b]], sizes[a : b + 1] - sizes[a])
+            assert ids.tolist() == [i for e in own.encode_batch(texts[a:b], add_special_tokens=False) for i in [*e.ids, 0]]
+    assert encoder.words > 6000
+    assert len(sent) < encoder.words / 50
+
+
+def test_words_are_merged_in_without_sorting_all_again(monkeypatch):
+    encoder = packing.Encoder(tokenizer_path(TOKENIZER), 0)
+    merged = []
+    plain = packing._merged
+
+    def counted(keys, values, more, of_more):
+        merged.append(len(keys) + len(more))
+        return plain(keys, values, more, of_more)
+
+    monkeypatch.setattr(packing, "_merged", counted)
+    for k in range(200):
+        texts = [f" a{k * 50 + i}b" for i in range(50)]
+        assert len(_encoded(encoder, texts)) == 50
+    assert sum(merged) < 20 * encoder.words
+    assert np.all(np.diff(encoder.known.astype(object)) > 0)
+
+
 def test_packed_pieces_cover_every_id_once(spark):
     rng = random.Random(2)
     texts = [" ".join(rng.choices(["alpha", "beta", "gamma"], k=rng.randrange(0, 3000))) for _ in range(60)] + [None, "", "same", "same"]
