@@ -34,7 +34,7 @@ from millrace.llm import kernels
 
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 _WORDS_KEPT = 400_000
-_WORDS_JOINED = 500
+_WORDS_JOINED = 100
 
 
 @lru_cache(1)
@@ -176,13 +176,15 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> np.ndarray:
         """The numbers given to new words."""
-        white = np.fromiter((t[-1].isspace() for t in texts), bool, len(texts))
-        order = np.argsort(white, kind="stable")
-        rows = int(len(texts) - white.sum())
-        parts = [self._joined([texts[k] for k in order[:rows].tolist()]), self._alone([texts[k] for k in order[rows:].tolist()])]
+        white = [k for k, t in enumerate(texts) if t[-1].isspace()]
+        rest = texts
+        number = self.words + np.arange(len(texts))
+        if white:
+            others = np.delete(np.arange(len(texts)), white)
+            rest = [texts[k] for k in others.tolist()]
+            number[np.concatenate([others, white])] = self.words + np.arange(len(texts))
+        parts = [self._joined(rest), self._alone([texts[k] for k in white])]
         ids, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-        number = np.empty(len(texts), np.int64)
-        number[order] = self.words + np.arange(len(texts))
         self.ids = _with(self.ids, self.size, ids)
         self.start = _with(self.start, self.words, self.size + np.cumsum(count) - count)
         self.count = _with(self.count, self.words, count)
@@ -235,11 +237,16 @@ class Encoder:
         word_first = np.searchsorted(starts, head)
         before = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         first = before[word_first] + closed * np.arange(n + 1)
-        out = np.full(before[-1] + closed * n, self.end_id or 0, np.uint32)
-        owner = closed * np.repeat(np.arange(n), np.diff(word_first))
-        target = np.repeat(before[:-1] + owner, count) + np.arange(before[-1]) - np.repeat(before[:-1], count)
-        source = np.repeat(self.start[slot], count) + np.arange(before[-1]) - np.repeat(before[:-1], count)
-        out[target] = self.ids[source]
+        source = np.repeat(self.start[slot] - before[:-1], count)
+        source += np.arange(before[-1])
+        found = self.ids[source]
+        if not closed:
+            return found, first
+        out = np.empty(before[-1] + n, np.uint32)
+        end = np.zeros(len(out), bool)
+        end[first[1:] - 1] = True
+        out[end] = self.end_id
+        out[~end] = found
         return out, first
 
 

@@ -68,11 +68,12 @@ def _bit_lengths(ids: np.ndarray) -> np.ndarray:
 
 
 def _packed(chunks: np.ndarray, width: int) -> bytes:
-    bits = np.arange(width, dtype=np.uint32)
+    kind = "u1" if width <= 8 else "<u2" if width <= 16 else "<u4"
     parts = []
     for at in range(0, len(chunks), _PIECE):  # a multiple of eight, so that parts begin at bytes
-        part = (chunks[at : at + _PIECE, None] >> bits) & 1
-        parts.append(np.packbits(part.astype(np.uint8).ravel(), bitorder="little").tobytes())
+        part = chunks[at : at + _PIECE].astype(kind)
+        bits = np.unpackbits(part.view(np.uint8), bitorder="little").reshape(len(part), -1)[:, :width]
+        parts.append(np.packbits(bits.ravel(), bitorder="little").tobytes())
     return b"".join(parts) + bytes(_PAD)
 
 
