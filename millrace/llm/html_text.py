@@ -1,13 +1,16 @@
 """Main text of web pages, by differencing each page with its nearest neighbours by URL.
 
-A page is cut into lines of text, one per block. Markup settles some of them:
-lines inside an article or main element are text, lines inside menus, headers,
-footers, sidebars, notices, adverts, forms and comments are not. The lines of a
-page that has no article or main element are open. Such a page is paired with
-the pages before and after it in the order of URL paths within its host, their
-lines are aligned by longest common subsequence, and open lines that a neighbour
-shares are deleted. A neighbour that shares nearly all lines is a copy and says
-nothing.
+A page is cut into lines of text, one per block. Every page is paired with the
+pages before and after it in the order of URL paths within its host, their
+lines are aligned by longest common subsequence, and lines that a neighbour
+shares are marked for deletion. A neighbour that shares nearly all lines is a
+copy and says nothing.
+
+Markup then checks the marks. Lines inside an article or main element are text
+and stay, as articles may quote one another; lines inside menus, headers,
+footers, sidebars, notices, adverts, forms and comments go, as these may be
+drawn anew for each page. All lines of a page that has no article or main
+element are open, and the marks decide.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.neighbours import ordered_neighbours
 from millrace.llm.store import written
+from millrace.session import BROADCAST_BYTES
 
 TEXT, OPEN, DROP = 0, 1, 2
 _COPY_SHARE = 0.8
@@ -198,7 +202,7 @@ def _address(url: str | None) -> tuple[str, str]:
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page its host, path, the hashes of its lines, and whether any is open."""
+    """Per page its host, path, the hashes of its lines, and the positions of open ones."""
     for batch in batches:
         hosts, paths, hashes, open_ = [], [], [], []
         for url, page in zip(batch.column("url").to_pylist(), batch.column("html"), strict=True):
@@ -207,9 +211,10 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hosts.append(host)
             paths.append(path)
             hashes.append([hash_line(t) for t, _ in lines])
-            open_.append(any(z == OPEN for _, z in lines))
+            open_.append([k for k, (_, z) in enumerate(lines) if z == OPEN])
+        ints = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(open_, pa.bool_())],
+            [batch.column("key"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(open_, ints)],
             names=["key", "host", "path", "lines", "open"],
         )
 
@@ -221,18 +226,20 @@ def hash_line(text: str) -> int:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page the positions of lines that a neighbour, unless it is a copy, has in common."""
+    """Per page the positions of lines that a neighbour, unless it is a copy, has in common, and those of them that are open."""
     for batch in batches:
-        out = []
-        for own, left, right in zip(*(batch.column(c).to_pylist() for c in ("lines", "lines_before", "lines_after")), strict=True):
-            gone: set[int] = set()
+        out, checked = [], []
+        for own, open_, left, right in zip(*(batch.column(c).to_pylist() for c in ("lines", "open", "lines_before", "lines_after")), strict=True):
+            shared: set[int] = set()
             for other in (left, right):
                 if other:
                     both = common_lines(own, other)
                     if len(both) < _COPY_SHARE * max(len(own), len(other)):
-                        gone.update(both)
-            out.append(sorted(gone))
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.list_(pa.int32()))], names=["key", "gone"])
+                        shared.update(both)
+            out.append(sorted(shared))
+            checked.append(sorted(shared.intersection(open_)))
+        ints = pa.list_(pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, ints), pa.array(checked, ints)], names=["key", "shared", "gone"])
 
 
 def _texts(with_gone: bool):
@@ -252,6 +259,25 @@ def _texts(with_gone: bool):
     return run
 
 
+def shared_lines(pages: DataFrame) -> DataFrame:
+    """(key, shared, gone) of every distinct key of (key, url, html).
+
+    `shared` has the positions of lines that a nearest page by URL shares,
+    `gone` those that go for it: markup does not say what they are.
+    """
+    survey = written(pages.mapInArrow(_survey, "key long, host string, path string, lines array<long>, open array<int>"), "html-survey")
+    beside = ordered_neighbours(survey.select("host", "path", "key"), ["host", "path", "key"], "html-order")
+    near = [F.when(F.col(f"{c}.host") == F.col("k.host"), F.col(f"{c}.key")).alias(c) for c in ("before", "after")]
+    beside = beside.select(F.col("k.key").alias("page"), *near)
+    lines = survey.select("key", "lines", "open").dropDuplicates(["key"])
+    own = lines.join(beside, F.col("key") == F.col("page"))
+    for c in ("before", "after"):
+        other = lines.select(F.col("key").alias(f"{c}_key"), F.col("lines").alias(f"lines_{c}"))
+        own = own.join(other, F.col(c) == F.col(f"{c}_key"), "left")
+    gone = own.select("key", "lines", "open", "lines_before", "lines_after").mapInArrow(_shared, "key long, shared array<int>, gone array<int>")
+    return written(gone, "html-shared")
+
+
 def extract_text(pages: DataFrame, *, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """One row per page: id, url, text, n_chars.
 
@@ -264,22 +290,12 @@ def extract_text(pages: DataFrame, *, id_column: str = "page_id", url_column: st
     kind = pages.schema[id_column].dataType.simpleString()
     pages = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     pages = pages.withColumn("key", F.xxhash64("page_id", "url", "html"))
-    survey = pages.mapInArrow(_survey, "key long, host string, path string, lines array<long>, open boolean")
-    survey = written(survey, "html-survey")
-    wanted = survey.filter("open").select("key", "host")
+    gone = shared_lines(pages.select("key", "url", "html")).select(F.col("key").alias("of"), "gone").filter(F.size("gone") > 0)
+    size = gone.agg(F.sum(F.size("gone") * 4 + 48)).first()[0]
     result = f"page_id {kind}, url string, text string, n_chars long"
-    if wanted.isEmpty():
+    if size is None:
         out = pages.mapInArrow(_texts(False), result)
-    else:
-        hosts = wanted.select(F.col("host").alias("of")).distinct()
-        beside = ordered_neighbours(survey.join(hosts, F.col("host") == F.col("of"), "left_semi").select("host", "path", "key"), ["host", "path", "key"], "html-order")
-        near = [F.when(F.col(f"{c}.host") == F.col("k.host"), F.col(f"{c}.key")).alias(c) for c in ("before", "after")]
-        beside = beside.select(F.col("k.key").alias("page"), *near)
-        own = survey.filter("open").select("key", "lines").dropDuplicates(["key"]).join(beside, F.col("key") == F.col("page"))
-        for c in ("before", "after"):
-            other = survey.select(F.col("key").alias(f"{c}_key"), F.col("lines").alias(f"lines_{c}")).dropDuplicates([f"{c}_key"])
-            own = own.join(other, F.col(c) == F.col(f"{c}_key"), "left")
-        gone = own.select("key", "lines", "lines_before", "lines_after").mapInArrow(_shared, "key long, gone array<int>")
-        gone = written(gone, "html-shared").withColumnRenamed("key", "of")
+    else:  # pages themselves do not move unless very many lose lines
+        gone = F.broadcast(gone) if size <= BROADCAST_BYTES else gone
         out = pages.join(gone, F.col("key") == F.col("of"), "left").drop("of", "key").mapInArrow(_texts(True), result)
     return out.withColumnRenamed("page_id", id_column).withColumnRenamed("url", url_column)

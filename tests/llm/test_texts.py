@@ -241,6 +241,23 @@ def test_html_differencing_by_nearest_url(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_html_pages_with_an_article_are_differenced_too(spark):
+    def page(i):
+        own = "".join(f"<p>story {i} line {j}</p>" for j in range(4))
+        return f"<div>Home About</div><article>{own}<p>As ever.</p></article><div class=ad>Buy {i}</div><div>Copyright Acme</div>"
+
+    rows = [(i, f"http://h.example/{i:02}.html", page(i)) for i in range(20)] + [(99, "http://other.example/", page(99))]
+    pages = spark.createDataFrame(rows, "key long, url string, html string")
+    found = html_text.shared_lines(pages).collect()
+    shared = {r.key: r.shared for r in found}
+    # menu, the line that articles share, footer; not the adverts, which are drawn for each page
+    assert shared == {**{i: [0, 5, 7] for i in range(20)}, 99: []}
+    # markup settles the lines of the article and the advert
+    assert {r.key: r.gone for r in found} == {i: [] for i in [*range(20), 99]}
+    got = {r.page_id: r.text for r in html_text.extract_text(pages.withColumnRenamed("key", "page_id")).collect()}
+    assert got == {i: " ".join(f"story {i} line {j}" for j in range(4)) + " As ever." for i in [*range(20), 99]}
+
+
 def test_fingerprints_of_edited_texts(spark):
     rng = random.Random(7)
     texts = [". ".join(" ".join(rng.choices(["red", "blue", "green", "é"], k=8)) for _ in range(rng.randrange(0, 40))) for _ in range(30)]
