@@ -124,12 +124,11 @@ def _fours(folded: np.ndarray, at: np.ndarray | None = None) -> Iterator[tuple[n
         yield code, LAMBDA ** (a + b + c)
 
 
-def _sentence_scores(weights: np.ndarray, folded: np.ndarray, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scores of all pieces of sentences, the texts they are of, and where they start.
+def _piece_scores(weights: np.ndarray, folded: np.ndarray, at: np.ndarray, starts: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Scores of all pieces of sentences, one for every block's start.
 
     A piece is two blocks in a row of one sentence, or its only one.
     """
-    starts, sentence, text = _blocks(points, at)
     local = np.zeros(len(folded), np.float32)
     for code, weight in _fours(folded, at):
         local += np.float32(weight) * weights[code]
@@ -137,7 +136,7 @@ def _sentence_scores(weights: np.ndarray, folded: np.ndarray, points: np.ndarray
     joined = sums.copy()
     same = sentence[1:] == sentence[:-1]
     joined[:-1][same] += sums[1:][same]
-    return joined, text, starts
+    return joined
 
 
 def text_scores(model: Model, column: pa.Array) -> np.ndarray:
@@ -147,8 +146,8 @@ def text_scores(model: Model, column: pa.Array) -> np.ndarray:
         folded, points, at = _codes(data, offsets)
         best = np.zeros(len(at) - 1, np.float32)
         if len(folded):
-            scores, text, _ = _sentence_scores(model.weights, folded, points, at)
-            np.maximum.at(best, text, scores)
+            starts, sentence, text = _blocks(points, at)
+            np.maximum.at(best, text, _piece_scores(model.weights, folded, at, starts, sentence))
         out.append(1 / (1 + np.exp(-np.clip(model.slope * best.astype(np.float64) + model.offset, -30, 30))))
     return np.concatenate(out) if out else np.zeros(0)
 
@@ -238,29 +237,38 @@ def _own(mark: bytes) -> np.ndarray:
 
 
 class _Pieces:
-    """The pieces of the fit's sentences, and their kernel values with the landmarks."""
+    """The pieces of the fit's sentences, and their kernel values with the landmarks.
+
+    Where the pieces lie depends on the texts alone and is kept in four bytes
+    each; code points are not kept.
+    """
 
     def __init__(self, texts: list[str], codes: np.ndarray, phi: np.ndarray):
-        column = pa.array(texts, pa.large_string()).cast(pa.large_binary())
-        self.parts = [_codes(data, offsets) for _, data, offsets in kernels.slices(column)]
+        self.parts, spots, first = [], [np.zeros((3, 0), np.int32)], 0
+        lots = (pa.array(texts[k : k + 64], pa.large_string()) for k in range(0, len(texts), 64))
+        for _, data, offsets in (part for lot in lots for part in kernels.slices(lot)):
+            folded, points, at = _codes(data, offsets)
+            if len(folded):
+                starts, sentence, text = (x.astype(np.int32) for x in _blocks(points, at))
+                self.parts.append((folded, at, starts, sentence))
+                spots.append(np.stack([text + first, starts, np.minimum(starts + 2 * _BLOCK, at[text + 1])]).astype(np.int32))
+            first += len(at) - 1
+        self.before = np.cumsum([0, *(len(x[2]) for x in self.parts)])  # pieces of the parts before each part
+        self.texts, self.starts, self.ends = np.concatenate(spots, axis=1)
         self.slot = np.full(1 << (_P * _BITS), -1, np.int32)
         self.slot[codes] = np.arange(len(codes))
         self.phi = np.ascontiguousarray(phi.T)
 
-    def scores(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores, texts and (part, start, end) of all pieces."""
-        scores, texts, places, first = [], [], [], 0
-        for k, (folded, points, at) in enumerate(self.parts):
-            if len(folded):
-                s, t, starts = _sentence_scores(weights, folded, points, at)
-                scores.append(s)
-                texts.append(t + first)
-                ends = np.minimum(starts + 2 * _BLOCK, at[t + 1])
-                places.append(np.stack([np.full(len(s), k), starts, ends], axis=1))
-            first += len(at) - 1
-        if not scores:
-            return np.zeros(0, np.float32), np.zeros(0, np.int64), np.zeros((0, 3), np.int64)
-        return np.concatenate(scores), np.concatenate(texts), np.concatenate(places)
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Scores of all pieces."""
+        out = np.zeros(len(self.texts), np.float32)
+        for lo, part in zip(self.before, self.parts, strict=False):
+            out[lo : lo + len(part[2])] = _piece_scores(weights, *part)
+        return out
+
+    def places(self, chosen: np.ndarray) -> np.ndarray:
+        """(part, start, end) of the chosen pieces."""
+        return np.stack([np.searchsorted(self.before, chosen, side="right") - 1, self.starts[chosen], self.ends[chosen]], axis=1)
 
     def kernel(self, places: np.ndarray) -> np.ndarray:
         """Kernel values of the pieces with the landmarks."""
@@ -283,14 +291,16 @@ class _Pieces:
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 4.0, steps: int = 20) -> tuple[np.ndarray, float]:
     """Squared hinge loss by Newton steps; y is -1 or 1. The intercept is not penalised."""
-    x1 = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    x1 = np.ones((len(x), x.shape[1] + 1))
+    x1[:, :-1] = x
+    del x  # the caller keeps no name for it
     beta = np.zeros(x1.shape[1])
     penalty = np.full(len(beta), ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
         margin = y * (x1 @ beta)
         act = margin < 1
-        xa = x1[act]
+        xa = x1 if act.all() else x1[act]
         grad = penalty * beta - 2 * xa.T @ (weight[act] * (1 - margin[act]) * y[act])
         step = np.linalg.solve(np.diag(penalty) + 2 * (xa * weight[act, None]).T @ xa, grad)
         beta -= step
@@ -341,7 +351,7 @@ def fit(bad: list[str], good: list[str], landmarks: int = LANDMARKS, rounds: int
     extra: np.ndarray | None = None
     cache: dict[int, np.ndarray] = {}
     for _ in range(rounds):
-        scores, texts, places = pieces.scores(weights)
+        scores, texts = pieces.scores(weights), pieces.texts
         order = np.lexsort((-scores, texts))
         nth = np.arange(len(order)) - np.searchsorted(texts[order], texts[order])
         top = order[(nth == 0) | ((nth < 5) & (scores[order] > bar))]
@@ -353,17 +363,15 @@ def fit(bad: list[str], good: list[str], landmarks: int = LANDMARKS, rounds: int
         chosen = np.unique(np.concatenate([chosen, extra]))
         new = np.array([c for c in chosen if c not in cache], np.int64)
         if len(new):
-            cache.update(zip(new.tolist(), pieces.kernel(places[new]), strict=True))
-        x = np.stack([cache[c] for c in chosen.tolist()]) @ root
+            cache.update(zip(new.tolist(), pieces.kernel(pieces.places(new)), strict=True))
         y = np.where(is_bad[texts[chosen]], 1.0, -1.0)
         weight = np.where(y > 0, 1.0 / max((y > 0).sum(), 1), 1.0 / max((y < 0).sum(), 1)) * len(y)
-        beta, bias = _svm(x, y, weight)
+        beta, bias = _svm(np.stack([cache[c] for c in chosen.tolist()], dtype=np.float64) @ root, y, weight)
         bar = max(-bias, 0.0)
         weights[:] = 0
         weights[codes] = phi.T @ (root @ beta)
-    scores, texts, _ = pieces.scores(weights)
     best = np.zeros(len(is_bad), np.float32)
-    np.maximum.at(best, texts, scores)
+    np.maximum.at(best, pieces.texts, pieces.scores(weights))
     return Model(weights, *_logistic(best.astype(np.float64), is_bad.astype(np.float64)))
 
 

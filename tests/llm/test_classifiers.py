@@ -42,6 +42,20 @@ def test_toxicity_on_held_out_and_bent_words():
     assert bent.min() > plain.max() and plain[1] == plain[2]
 
 
+def test_toxicity_fit_keeps_little_for_each_character():
+    texts = _texts(400, 8)
+    codes, phi = toxicity._phi([toxicity._folded("zgrumple")])
+    toxicity._Pieces(texts[:1], codes, phi)
+    tracemalloc.start()
+    pieces = toxicity._Pieces(texts, codes, phi)
+    kept = tracemalloc.get_traced_memory()[0] - pieces.slot.nbytes
+    tracemalloc.stop()
+    assert kept < 4 * sum(map(len, texts))  # code points alone are four bytes
+    # every character is in one piece at least, and pieces lie within one text
+    places = pieces.places(np.arange(len(pieces.texts)))
+    assert (places[:, 2] > places[:, 1]).all() and (places[:, 2] - places[:, 1] <= 2 * toxicity._BLOCK).all()
+
+
 def test_toxicity_kernel_is_the_sum_over_common_subsequences():
     codes, phi = toxicity._phi([toxicity._folded("zgrumple")])
     pieces = toxicity._Pieces(["a zgrumple b"], codes, phi)
