@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from millrace.catalog import clusters
+from millrace.catalog import QUERIES, clusters
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -48,5 +48,5 @@ def test_feature_stages_are_fitted_without_a_shuffle_of_the_table(spark, tmp_pat
 
     for fit in ("fit_scaled_features", "fit_connection_features"):
         monkeypatch.setattr(clusters, fit, seen(getattr(clusters, fit)))
-    assert clusters.QUERIES[name](spark, str(tmp_path)).first()["k"] == 2
+    assert QUERIES[name](spark, str(tmp_path)).first()["k"] == 2
     assert len(plans) == 1 and "Repartition" not in plans[0] and "Sort" not in plans[0]
