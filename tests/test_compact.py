@@ -4,11 +4,12 @@ import random
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
 from millrace.operators.encode import assembler, vector_indexer
+from millrace.plans import compact as compact_rows
 from millrace.plans.compact import WEIGHT, compact, weighted
 from millrace.plans.tuning import holdout, param_grid, score_all, tune
 
@@ -104,3 +105,36 @@ def test_tuning_counts_rows_by_their_weight(signs):
         score_all([one.model], stage.transform(rows), "label", "accuracy")
     )
     assert not isinstance(other.model, PipelineModel)
+
+
+def test_a_tuned_logistic_model_is_fitted_on_few_weighted_rows(spark):
+    rows = spark.range(9000).select(
+        (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 5 > 1).cast("double").alias("b"), (F.col("id") % 3).cast("int").alias("_bucket"),
+        (F.xxhash64("id") % 10 < F.when(F.col("id") % 2 == 0, 3).otherwise(-2)).cast("double").alias("label"),
+    )
+    for each, near in ((9000, 1e-9), (64, 1e-3)):
+        plain = LogisticRegression(labelCol="label", regParam=0.05, elasticNetParam=0.3, maxIter=20)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(compact_rows, "PIECES", each)
+            few = compact_rows.compact(rows, plain, "label", logistic=True)
+        kinds = rows.distinct().count()
+        assert few.count() <= kinds * each and few.agg(F.sum(compact_rows.WEIGHT)).first()[0] == 9000
+        stage = assembler(["a", "b"])
+        whole = plain.fit(stage.transform(rows))
+        found = compact_rows.weighted(plain, few).fit(stage.transform(few))
+        assert found.coefficients.toArray() == pytest.approx(whole.coefficients.toArray(), rel=near)
+        assert found.intercept == pytest.approx(whole.intercept, rel=near)
+    assert compact_rows.compact(rows, plain, "label") is rows
+
+
+def test_fits_at_the_same_time_have_properties_of_their_own(spark, monkeypatch):
+    """Jobs that share them set and clear each other's execution number."""
+    from millrace.plans import tuning
+
+    wrapped = []
+    plain = tuning.inheritable_thread_target
+    monkeypatch.setattr(tuning, "inheritable_thread_target", lambda job: wrapped.append(job) or plain(job))
+    rows = spark.createDataFrame([(float(i % 2), float(i % 2), i % 3) for i in range(60)], "a double, label double, _bucket int")
+    grid = tuning.param_grid(LogisticRegression(labelCol="label"), regParam=[0.1, 0.2])
+    tuning.tune(assembler(["a"]).transform(rows), LogisticRegression(labelCol="label"), grid, tuning.k_folds(3), "label")
+    assert len(wrapped) == 2 * 3
