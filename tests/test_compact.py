@@ -138,3 +138,15 @@ def test_fits_at_the_same_time_have_properties_of_their_own(spark, monkeypatch):
     grid = tuning.param_grid(LogisticRegression(labelCol="label"), regParam=[0.1, 0.2])
     tuning.tune(assembler(["a"]).transform(rows), LogisticRegression(labelCol="label"), grid, tuning.k_folds(3), "label")
     assert len(wrapped) == 2 * 3
+
+
+@pytest.mark.parametrize("values", [False, True])
+def test_nodes_of_a_tree_over_weighted_rows_count_all_rows(spark, signs, values):
+    from millrace.operators.inspect import tree_nodes
+
+    label = "y" if values else "label"
+    tree = (DecisionTreeRegressor if values else DecisionTreeClassifier)(labelCol=label, maxDepth=1)
+    few = compact(signs.select(label, *NAMES), tree, label)
+    assert few.count() < 20_000
+    found = {r.node: r for r in tree_nodes(spark, _fitted(tree, few), NAMES).collect()}
+    assert found[0].n == 20_000 and found[1].n + found[2].n == 20_000 and min(found[1].n, found[2].n) > 0
